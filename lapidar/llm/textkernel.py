@@ -61,6 +61,7 @@ class Texts:
         edge[1:-1] = ~solid[:-1]
         edge[offsets] = True
         begins = solid & edge[:-1]
+        self.solid = solid
         edge[:-1] = ~solid
         edge[-1] = True
         edge[offsets] = True
