@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapidar.llm import packing, quality_rules, simhash, substring_dedup
+from lapidar.llm import packing, pii, quality_rules, secret_scan, simhash, substring_dedup
 from lapidar.sources.shipping import ship
 
 
@@ -22,11 +22,33 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def digest(kinds: list[str], spans: str = "spans") -> Column:
+    """kind:start:end of the spans of these kinds, comma-joined in their order."""
+    own = F.filter(spans, lambda x: x["kind"].isin(kinds))
+    return F.array_join(F.transform(own, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+def counted(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = list(pii.KINDS[:4])
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *map(counted, base), F.sha2(digest(base), 256).alias("base_sha256"), digest(list(pii.KINDS)).alias("spans"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = list(secret_scan.KINDS[:3])
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *map(counted, base), F.sha2(digest(base), 256).alias("base_sha256"), digest(list(secret_scan.KINDS)).alias("spans"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.drop_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -43,6 +65,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_simhash, op7_substring_dedup, op9_quality_rules, op10_packing)
+    f.__name__: f for f in (op1_pii, op3_simhash, op4_secret_scan, op7_substring_dedup, op9_quality_rules, op10_packing)
 }
 SQL: dict[str, str] = {}
