@@ -9,11 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapidar.llm.common import written
 from lapidar.llm.textkernel import OTHER_BASE, WORD_BASE, Texts, covered, spans_hash, texts_of
 
 WIDTH = 50
 """Words in a window."""
-GRAM = 16
+GRAM = 8
 """Words in a gram of the filter that goes before the count."""
 
 
@@ -42,20 +43,17 @@ def marks(t: Texts, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     return first, lowest(full, width - gram + 1)[first]
 
 
-def repeated_windows(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+def repeated_windows(rows: DataFrame, by_doc: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, text) -> (doc_id, first array<int>): starts of the windows of width words
     whose word sequence also starts in a document with a smaller doc_id.
 
-    Rabin-Karp hashes (two, 128 bits together) of the windows are counted in Spark.
-    A lossless filter goes before: a window is counted only if its mark, the smallest
-    hash among its grams, occurs in two documents or more, which every repeated window
-    meets; this leaves one shuffled row for some 18 words instead of one a word.
-    Counts are combined before the shuffle; a mark or window that a third of all
-    documents hold meets its documents in a join that adaptive execution splits.
+    Rabin-Karp hashes (96 bits) of the windows are counted in Spark. A lossless filter
+    goes before: a window is counted only if its mark, the smallest hash among its
+    grams, occurs in two documents or more, which every repeated window meets; this
+    leaves one shuffled row for some 20 words instead of one a word. Counts are combined
+    before the shuffle; a mark or window that a third of all documents hold meets its
+    documents in a join that adaptive execution splits. by_doc: rows, dealt by doc_id.
     """
-    n_partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    by_doc = docs.where("doc_id is not null and text is not null").repartition(n_partitions, "doc_id")
-
     def mark_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
@@ -66,9 +64,11 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> D
                 new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
                 yield pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64)), pa.array(ids[lo:hi][doc[new]])], ["mark", "doc_id"])
 
-    found = docs.where("doc_id is not null and text is not null").mapInArrow(mark_rows, "mark long, doc_id long")
-    shared = found.groupBy("mark").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("mark")
-    wanted = found.join(shared, "mark").groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))
+    found = rows.where("doc_id is not null").mapInArrow(mark_rows, "mark long, doc_id long")
+    shared = found.groupBy("mark").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    # a document that is the first to hold a mark is counted for the others, but has no earlier one to ask for
+    wanted = written(found.join(shared, "mark").groupBy("doc_id").agg(
+        F.collect_set("mark").alias("marks"), F.collect_set(F.when(F.col("low") < F.col("doc_id"), F.col("mark"))).alias("late")), "marks")
 
     def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -78,18 +78,23 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> D
                 keep = np.zeros(len(first), bool)
                 cut = np.searchsorted(t.doc[first], np.arange(hi - lo + 1))
                 for i in range(hi - lo):
-                    s = slice(cut[i], cut[i + 1])
-                    keep[s] = np.isin(key[s], sets[lo + i].values.to_numpy().view(np.uint64))
+                    if (one := sets[lo + i]).is_valid:
+                        s = slice(cut[i], cut[i + 1])
+                        keep[s] = np.isin(key[s], one.values.to_numpy().view(np.uint64))
                 first = first[keep]
                 one, two = (spans_hash(t.codes, first, first + width, base).view(np.int64) for base in (WORD_BASE, OTHER_BASE))
                 begin = np.searchsorted(t.starts, t.offsets[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(one), pa.array(two), pa.array(ids[lo:hi][t.doc[first]]), pa.array((first - begin[t.doc[first]]).astype(np.int32))],
+                    [pa.array(one), pa.array(two.astype(np.int32)), pa.array(ids[lo:hi][t.doc[first]].astype(np.int64)), pa.array((first - begin[t.doc[first]]).astype(np.int32))],
                     ["one", "two", "doc_id", "first"])
 
-    windows = by_doc.join(wanted.hint("shuffle_hash"), "doc_id").mapInArrow(window_rows, "one long, two long, doc_id long, first int")
-    lowest_doc = windows.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
-    return (windows.join(lowest_doc, ["one", "two"]).where("low < doc_id")
+    def windows(which: str) -> DataFrame:
+        # a left join: an inner one would filter the texts below their exchange, which is to be used again
+        return (by_doc.join(wanted.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", which)
+                .mapInArrow(window_rows, "one long, two int, doc_id long, first int"))
+
+    lowest_doc = windows("marks").groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    return (windows("late").join(lowest_doc, ["one", "two"]).where("low < doc_id")
             .groupBy("doc_id").agg(F.collect_set("first").alias("first")))
 
 
@@ -105,8 +110,9 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     give empty ones; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    n_partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    met = rows.repartition(n_partitions, "doc_id").join(repeated_windows(rows, width, gram).hint("shuffle_hash"), "doc_id", "left")
+    # texts are shuffled once; both joins with what was found use that exchange
+    by_doc = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+    met = by_doc.join(repeated_windows(rows, by_doc, width, gram).hint("shuffle_hash"), "doc_id", "left")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
