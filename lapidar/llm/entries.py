@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapidar.llm import packing, pii, quality_rules, secret_scan, simhash, substring_dedup
+from lapidar.llm import license_scan, packing, pii, quality_rules, secret_scan, simhash, substring_dedup
 from lapidar.sources.shipping import ship
 
 
@@ -49,6 +49,18 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(counted, base), F.sha2(digest(base), 256).alias("base_sha256"), digest(list(secret_scan.KINDS)).alias("spans"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.find_licenses(table(spark, sf_dir, "documents"))
+    base, own = (F.transform(c, lambda x: x["label"]) for c in ("places", "similar"))
+    starts = F.transform("places", lambda x: x["start"])
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, own)), ",").alias("labels"),
+        F.coalesce(F.array_max(F.transform("similar", lambda x: x["share"])), F.lit(0.0)).alias("score"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.drop_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -65,6 +77,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op3_simhash, op4_secret_scan, op7_substring_dedup, op9_quality_rules, op10_packing)
+    f.__name__: f for f in (op1_pii, op3_simhash, op4_secret_scan, op5_license_scan, op7_substring_dedup, op9_quality_rules, op10_packing)
 }
 SQL: dict[str, str] = {}
