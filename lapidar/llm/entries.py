@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapidar.llm import html_extract, license_scan, packing, pii, quality_rules, secret_scan, simhash, substring_dedup
+from lapidar.llm import classifier, html_extract, license_scan, packing, pii, quality_rules, secret_scan, simhash, substring_dedup
 from lapidar.sources.shipping import ship
 
 
@@ -61,6 +61,14 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("similar", lambda x: x["share"])), F.lit(0.0)).alias("score"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    net = classifier.train(docs, labels.where(~held_out))
+    found = classifier.scored(docs, net)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.drop_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -82,6 +90,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op3_simhash, op4_secret_scan, op5_license_scan, op7_substring_dedup, op8_html_extraction, op9_quality_rules, op10_packing)
+    f.__name__: f for f in (op1_pii, op3_simhash, op4_secret_scan, op5_license_scan, op6_quality_classifier, op7_substring_dedup, op8_html_extraction, op9_quality_rules, op10_packing)
 }
 SQL: dict[str, str] = {}

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapidar.llm.textkernel import BYTE_BASE, Texts, _LETTERS, covered, mix, repeated, spans_hash, texts_of
+from lapidar.llm.textkernel import BYTE_BASE, LETTERS, Texts, covered, mix, repeated, spans_hash, texts_of
 
 LIMITS = {3: 0.50, 5: 0.40, 7: 0.35, 10: 0.30}
 """By n: the largest share of a text's word characters that duplicated n-grams may cover."""
@@ -34,7 +34,7 @@ def measure(t: Texts, widths: tuple[int, ...]) -> dict[str, np.ndarray]:
     out["n_symbols"] = symbols[t.offsets[1:]] - symbols[t.offsets[:-1]]
     starts, ends, doc = t.lines()
     salt = mix(np.arange(1, t.n + 1, dtype=np.uint64))
-    _, again = repeated(spans_hash(_LETTERS[t.data], starts, ends, BYTE_BASE) ^ salt[doc])
+    _, again = repeated(spans_hash(LETTERS[t.data], starts, ends, BYTE_BASE) ^ salt[doc])
     out["n_dup_lines"] = t.per_text(doc[again])
     in_words = np.zeros(n_words + 1, np.int64)
     np.cumsum(chars, out=in_words[1:])

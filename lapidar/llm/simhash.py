@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapidar.llm.common import connected_components, written
-from lapidar.llm.textkernel import Texts, texts_of
+from lapidar.llm.textkernel import LOWER, Texts, texts_of
 
 SHINGLE = 3
 DISTANCE = 3
@@ -24,9 +24,6 @@ FAN = 8
 """Children of an index node."""
 BITS = 64
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-
 
 def fingerprints(t: Texts, shingle: int = SHINGLE) -> np.ndarray:
     """SimHash of each text of a slice, unsigned."""
@@ -41,7 +38,7 @@ def fingerprints(t: Texts, shingle: int = SHINGLE) -> np.ndarray:
     keep[after] = True
     place = np.zeros(len(t.data) + 1, np.int64)
     np.cumsum(keep, out=place[1:])
-    text = np.where(t.solid, _LOWER[t.data], np.uint8(32))[keep].tobytes()
+    text = np.where(t.solid, LOWER[t.data], np.uint8(32))[keep].tobytes()
     starts, ends = place[t.starts], place[t.ends]
     first_of = np.searchsorted(t.doc, np.arange(t.n + 1))
     many = np.diff(first_of)

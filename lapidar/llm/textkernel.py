@@ -16,8 +16,11 @@ CHUNK = 1 << 20
 """Bytes of text handled at once; a longer text is handled alone."""
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_WORD = np.ones(256, np.uint8)
+_WORD[[0x20, *range(0x09, 0x0E)]] = 0
+LOWER = np.arange(256, dtype=np.uint8)
+"""By byte, A-Z in lower case."""
+LOWER[65:91] += 32
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -27,7 +30,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_LETTERS = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
+LETTERS = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -54,19 +57,16 @@ BYTE_BASE, WORD_BASE, OTHER_BASE = 0xD1342543DE82EF95, 0xAF251AF3B0F025B5, 0xF13
 class Texts:
     """Some texts of a batch: bytes, offsets, and their words."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray | None = None):
+        """kinds: by byte, 0 for separators; a word is a run of bytes of one kind."""
         self.data, self.offsets, self.n = data, offsets, len(offsets) - 1
-        solid = ~_SPACE[data]
-        edge = np.ones(len(data) + 1, bool)  # a separator or another text lies before this byte
-        edge[1:-1] = ~solid[:-1]
+        kind = (_WORD if kinds is None else kinds)[data]
+        edge = np.ones(len(data) + 1, bool)  # bytes of two kinds or of two texts meet here
+        edge[1:-1] = kind[1:] != kind[:-1]
         edge[offsets] = True
-        begins = solid & edge[:-1]
-        self.solid = solid
-        edge[:-1] = ~solid
-        edge[-1] = True
-        edge[offsets] = True
-        self.starts = np.flatnonzero(begins)
-        self.ends = np.flatnonzero(solid & edge[1:]) + 1
+        self.solid = kind != 0
+        self.starts = np.flatnonzero(self.solid & edge[:-1])
+        self.ends = np.flatnonzero(self.solid & edge[1:]) + 1
         self.doc = np.searchsorted(offsets, self.starts, "right") - 1
         self._codes: np.ndarray | None = None
         self._points: np.ndarray | None = None
@@ -75,7 +75,7 @@ class Texts:
     def codes(self) -> np.ndarray:
         """64-bit code of each word."""
         if self._codes is None:
-            self._codes = spans_hash(_LETTERS[self.data], self.starts, self.ends, BYTE_BASE)
+            self._codes = spans_hash(LETTERS[self.data], self.starts, self.ends, BYTE_BASE)
         return self._codes
 
     @property
@@ -134,7 +134,7 @@ def covered(first: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def texts_of(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, Texts]]:
+def texts_of(column: pa.Array, limit: int = CHUNK, kinds: np.ndarray | None = None, lower: bool = False) -> Iterator[tuple[int, int, Texts]]:
     """Slices (from, to, Texts) of a string column, null as empty, of about limit bytes."""
     column = column.cast(pa.large_string()).fill_null("")
     n = len(column)
@@ -147,5 +147,6 @@ def texts_of(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, T
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         to = min(to, n)
-        yield at, to, Texts(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
+        part = data[offsets[at] : offsets[to]]
+        yield at, to, Texts(LOWER[part] if lower else part, offsets[at : to + 1] - offsets[at], kinds)
         at = to
