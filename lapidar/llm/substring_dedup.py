@@ -47,7 +47,7 @@ def repeated_windows(rows: DataFrame, by_doc: DataFrame, width: int = WIDTH, gra
     """(doc_id, text) -> (doc_id, first array<int>): starts of the windows of width words
     whose word sequence also starts in a document with a smaller doc_id.
 
-    Rabin-Karp hashes (96 bits) of the windows are counted in Spark. A lossless filter
+    Rabin-Karp hashes (80 bits) of the windows are counted in Spark. A lossless filter
     goes before: a window is counted only if its mark, the smallest hash among its
     grams, occurs in two documents or more, which every repeated window meets; this
     leaves one shuffled row for some 20 words instead of one a word. Counts are combined
@@ -85,15 +85,16 @@ def repeated_windows(rows: DataFrame, by_doc: DataFrame, width: int = WIDTH, gra
                 one, two = (spans_hash(t.codes, first, first + width, base).view(np.int64) for base in (WORD_BASE, OTHER_BASE))
                 begin = np.searchsorted(t.starts, t.offsets[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(one), pa.array(two.astype(np.int32)), pa.array(ids[lo:hi][t.doc[first]].astype(np.int64)), pa.array((first - begin[t.doc[first]]).astype(np.int32))],
+                    [pa.array(one), pa.array(two.astype(np.int16)), pa.array(ids[lo:hi][t.doc[first]].astype(np.int64)), pa.array((first - begin[t.doc[first]]).astype(np.int32))],
                     ["one", "two", "doc_id", "first"])
 
     def windows(which: str) -> DataFrame:
         # a left join: an inner one would filter the texts below their exchange, which is to be used again
         return (by_doc.join(wanted.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", which)
-                .mapInArrow(window_rows, "one long, two int, doc_id long, first int"))
+                .mapInArrow(window_rows, "one long, two short, doc_id long, first int"))
 
-    lowest_doc = windows("marks").groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    # written, for only then does adaptive execution see both sides of the join as shuffles that it can split
+    lowest_doc = written(windows("marks").groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high"), "windows")
     return (windows("late").join(lowest_doc, ["one", "two"]).where("low < doc_id")
             .groupBy("doc_id").agg(F.collect_set("first").alias("first")))
 
