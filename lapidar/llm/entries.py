@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapidar.llm import classifier, html_extract, license_scan, packing, pii, quality_rules, secret_scan, simhash, substring_dedup
+from lapidar.llm import classifier, decontamination, html_extract, license_scan, packing, pii, quality_rules, secret_scan, simhash, substring_dedup
 from lapidar.sources.shipping import ship
 
 
@@ -38,6 +38,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(counted, base), F.sha2(digest(base), 256).alias("base_sha256"), digest(list(pii.KINDS)).alias("spans"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "first_word", F.round("share", 6).alias("share"), F.round("answer_share", 6).alias("answer_share"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
@@ -90,6 +95,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op3_simhash, op4_secret_scan, op5_license_scan, op6_quality_classifier, op7_substring_dedup, op8_html_extraction, op9_quality_rules, op10_packing)
+    f.__name__: f for f in (op1_pii, op2_decontamination, op3_simhash, op4_secret_scan, op5_license_scan, op6_quality_classifier, op7_substring_dedup, op8_html_extraction, op9_quality_rules, op10_packing)
 }
 SQL: dict[str, str] = {}

@@ -57,7 +57,7 @@ def matrix_sum(rows: DataFrame, fill: Callable[[Iterator[pa.RecordBatch], np.nda
     some = parts.repartition(n, "chunk", F.floor(F.col("part") / MERGED)).mapInArrow(_added(dtype), _SCHEMA)
     whole = some.repartition(n, "chunk").withColumn("part", F.lit(0).cast("long")).mapInArrow(_added(dtype), _SCHEMA)
     out = np.zeros(shape, dtype)
-    for x in whole.toLocalIterator():
+    for x in whole.collect():
         block = np.frombuffer(x["block"], dtype).reshape(-1, shape[1])
         out[x["chunk"] * ROWS : x["chunk"] * ROWS + len(block)] += block
     return out

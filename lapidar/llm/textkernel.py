@@ -67,7 +67,9 @@ class Texts:
         self.solid = kind != 0
         self.starts = np.flatnonzero(self.solid & edge[:-1])
         self.ends = np.flatnonzero(self.solid & edge[1:]) + 1
-        self.doc = np.searchsorted(offsets, self.starts, "right") - 1
+        #: By text, the number of its first word; the text of each word.
+        self.first = np.searchsorted(self.starts, offsets)
+        self.doc = np.repeat(np.arange(self.n), np.diff(self.first))
         self._codes: np.ndarray | None = None
         self._points: np.ndarray | None = None
 
