@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lapidar.llm.textkernel import BYTE_BASE, LETTERS, Texts, covered, mix, repeated, spans_hash, texts_of
 
@@ -51,15 +52,15 @@ def measure(t: Texts, widths: tuple[int, ...]) -> dict[str, np.ndarray]:
 
 
 def repetition_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: dict[int, float] | None = None,
-                     line_limit: float = LINE_LIMIT, symbol_limit: float = SYMBOL_LIMIT) -> DataFrame:
+                     line_limit: float = LINE_LIMIT, symbol_limit: float = SYMBOL_LIMIT, carry: bool = False) -> DataFrame:
     """One row per row of docs: doc_id, the counts, base_failed, kept.
 
     dup_chars_n: characters of words inside n-grams of words that occur twice or more
     in the text; dup_line_chars: of words in lines equal to an earlier line. kept:
     base_failed is false and no share exceeds its limit. Null text counts as empty,
     and an empty text fails. A null id stays null; equal rows give equal rows; an
-    empty table gives an empty one; other columns of docs are ignored. No shuffle:
-    one pass, memory bounded by a slice of texts.
+    empty table gives an empty one; other columns of docs don't matter. No shuffle:
+    one pass, memory bounded by a slice of texts. carry: add the row of docs as a struct, row.
     """
     limits = LIMITS if limits is None else limits
     widths = tuple(sorted({3, *limits}))
@@ -69,10 +70,18 @@ def repetition_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         for b in batches:
             for lo, hi, t in texts_of(b.column(1)):
                 found = measure(t, widths)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *(pa.array(found[n]) for n in names)], ["doc_id", *names])
+                own = b.slice(lo, hi - lo)
+                passed = own.columns if carry else own.columns[:1]
+                yield pa.RecordBatch.from_arrays([*passed, *(pa.array(found[n]) for n in names)], [*schema.names])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(run, ", ".join(["doc_id long", *(f"{n} long" for n in names)]))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       *([F.struct(*(F.col(c) for c in docs.columns if c != text_col)).alias("rest")] if carry else []))
+    passed = rows.schema.fields if carry else rows.schema.fields[:1]
+    schema = StructType([*passed, *(StructField(n, LongType()) for n in names)])
+    out = rows.mapInArrow(run, schema)
+    if carry:
+        whole = [F.col("text").alias(c) if c == text_col else F.col("rest").getField(c) for c in docs.columns]
+        out = out.select("doc_id", F.struct(*(w.alias(c) for w, c in zip(whole, docs.columns))).alias("row"), *names)
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     bad = F.col("n_symbols") > symbol_limit * F.col("n_words")
     for n, most in limits.items():

@@ -152,17 +152,21 @@ def cutoffs(rows: DataFrame, rate: float = FALSE_DISCOVERY) -> dict[int, int]:
     return out
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = FALSE_DISCOVERY) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = FALSE_DISCOVERY,
+                 carry: bool = False) -> DataFrame:
     """One row per row of docs: doc_id, text, spans array<struct<start, rank, end, kind>> in order of start, then kind.
 
     Kinds assign, access and hex hold all leftmost non-overlapping matches that are long
     enough; random holds runs of 20 or more characters with letters and digits that the
     battery doesn't put aside and that no other span overlaps. Null text counts as
     empty; null ids stay null; equal rows give equal rows; an empty table gives an empty
-    one; other columns are ignored. Two scans, no shuffle of texts, no Python.
+    one; other columns don't matter. Two scans, no shuffle of texts, no Python. carry: add
+    the row of docs as a struct, row.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    cut = cutoffs(rows, rate)
+    whole = [F.struct(*docs.columns).alias("row")] if carry else []
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *whole)
+    names = ["row"] * carry
+    cut = cutoffs(rows.select("text"), rate)
     text = F.col("text")
     none = F.expr("cast(array() as array<struct<start: int, rank: int, end: int, kind: string>>)")
 
@@ -182,18 +186,18 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             most = F.when(size == k, F.lit(b)).otherwise(most)
         return _bin(randomness(x["token"])) < most  # put aside from the cut on
 
-    found = rows.select("doc_id", "text", F.array_sort(F.concat(assign, access, hexes)).alias("base"), F.when(text.rlike(CANDIDATE), runs).alias("runs"))
+    found = rows.select("doc_id", "text", *names, F.array_sort(F.concat(assign, access, hexes)).alias("base"), F.when(text.rlike(CANDIDATE), runs).alias("runs"))
     free = F.filter("runs", lambda r: ~F.exists("base", lambda s: (s["start"] < r["end"]) & (r["start"] < s["end"])) & random(r))
     added = F.when(F.size("runs") > 0, spans(free, 3)).otherwise(none)
-    return found.select("doc_id", "text", F.array_sort(F.concat("base", added)).alias("spans"))
+    return found.select("doc_id", "text", *names, F.array_sort(F.concat("base", added)).alias("spans"))
 
 
-def masked(found: DataFrame) -> Column:
+def masked(text_col: str = "text", spans_col: str = "spans") -> Column:
     """Text of find_secrets() with each stretch of spans replaced by MASK."""
+    text = F.col(text_col)
     start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    text = F.col("text")
-    done = F.aggregate("spans", start, lambda s, x: F.when(x["end"] <= s["at"], s).otherwise(F.struct(
+    done = F.aggregate(spans_col, start, lambda s, x: F.when(x["end"] <= s["at"], s).otherwise(F.struct(
         x["end"].alias("at"),
         F.when(x["start"] < s["at"], s["out"]).otherwise(F.concat(s["out"], F.array(F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(MASK)))).alias("out"))),
         lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size("spans") == 0, text).otherwise(done)
+    return F.when(F.size(spans_col) == 0, text).otherwise(done)
