@@ -43,7 +43,15 @@ def marks(t: Texts, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     return first, lowest(full, width - gram + 1)[first]
 
 
-def repeated_windows(rows: DataFrame, by_doc: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+def later_copies(rows: DataFrame) -> DataFrame:
+    """(doc_id, text) -> (copy_id, copy_hash): rows whose whole text a document with a smaller id has."""
+    hashed = rows.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("one"), F.hash("text").alias("two"), F.length("text").alias("size"))
+    low = hashed.groupBy("one", "two", "size").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    found = hashed.join(written(low, "copied"), ["one", "two", "size"]).where("low < doc_id")
+    return written(found.select(F.col("doc_id").alias("copy_id"), F.col("one").alias("copy_hash")).distinct(), "copies")
+
+
+def repeated_windows(rows: DataFrame, by_doc: DataFrame, copies: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, text) -> (doc_id, first array<int>): starts of the windows of width words
     whose word sequence also starts in a document with a smaller doc_id.
 
@@ -52,23 +60,28 @@ def repeated_windows(rows: DataFrame, by_doc: DataFrame, width: int = WIDTH, gra
     grams, occurs in two documents or more, which every repeated window meets; this
     leaves one shuffled row for some 20 words instead of one a word. Counts are combined
     before the shuffle; a mark or window that a third of all documents hold meets its
-    documents in a join that adaptive execution splits. by_doc: rows, dealt by doc_id.
+    documents in a join that adaptive execution splits. by_doc: rows, dealt by doc_id;
+    copies: whole texts that came before, which have no window to add.
     """
     def mark_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
+            ids, texts = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             for lo, hi, t in texts_of(b.column(1)):
                 first, key = marks(t, width, gram)
                 doc = t.doc[first]
                 new = np.ones(len(key), bool)
                 new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64)), pa.array(ids[lo:hi][doc[new]])], ["mark", "doc_id"])
+                doc = doc[new]
+                yield pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64)), pa.array(ids[lo:hi][doc]), pa.array(texts[lo:hi][doc])], ["mark", "doc_id", "text_hash"])
 
-    found = rows.where("doc_id is not null").mapInArrow(mark_rows, "mark long, doc_id long")
-    shared = found.groupBy("mark").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    found = rows.where("doc_id is not null and text is not null").select("doc_id", "text", F.xxhash64("text")).mapInArrow(mark_rows, "mark long, doc_id long, text_hash long")
+    shared = (found.groupBy("mark").agg(F.min("doc_id").alias("low"), F.min("text_hash").alias("one"), F.max("text_hash").alias("two"))
+              .where("one < two").select("mark", "low"))
     # a document that is the first to hold a mark is counted for the others, but has no earlier one to ask for
-    wanted = written(found.join(shared, "mark").groupBy("doc_id").agg(
-        F.collect_set("mark").alias("marks"), F.collect_set(F.when(F.col("low") < F.col("doc_id"), F.col("mark"))).alias("late")), "marks")
+    wanted = found.join(shared, "mark").groupBy("doc_id", "text_hash").agg(
+        F.collect_set("mark").alias("marks"), F.collect_set(F.when(F.col("low") < F.col("doc_id"), F.col("mark"))).alias("late"))
+    wanted = wanted.join(copies, (F.col("doc_id") == F.col("copy_id")) & (F.col("text_hash") == F.col("copy_hash")), "left_anti")
+    wanted = written(wanted.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("marks"))).alias("marks"), F.array_distinct(F.flatten(F.collect_list("late"))).alias("late")), "marks")
 
     def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -93,8 +106,8 @@ def repeated_windows(rows: DataFrame, by_doc: DataFrame, width: int = WIDTH, gra
         return (by_doc.join(wanted.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", which)
                 .mapInArrow(window_rows, "one long, two short, doc_id long, first int"))
 
-    # written, for only then does adaptive execution see both sides of the join as shuffles that it can split
-    lowest_doc = written(windows("marks").groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high"), "windows")
+    # dealt out again, for only then does adaptive execution see both sides of the join as shuffles that it can split
+    lowest_doc = (windows("marks").groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high").hint("rebalance"))
     return (windows("late").join(lowest_doc, ["one", "two"]).where("low < doc_id")
             .groupBy("doc_id").agg(F.collect_set("first").alias("first")))
 
@@ -113,22 +126,25 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # texts are shuffled once; both joins with what was found use that exchange
     by_doc = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
-    met = by_doc.join(repeated_windows(rows, by_doc, width, gram).hint("shuffle_hash"), "doc_id", "left")
+    copies = later_copies(rows)
+    whole = copies.groupBy("copy_id").agg(F.collect_set("copy_hash").alias("hashes")).withColumnRenamed("copy_id", "doc_id")
+    met = by_doc.join(repeated_windows(rows, by_doc, copies, width, gram).hint("shuffle_hash"), "doc_id", "left").join(whole.hint("shuffle_hash"), "doc_id", "left")
+    met = met.select("doc_id", "text", "first", F.coalesce(F.array_contains("hashes", F.xxhash64("text")), F.lit(False)).alias("copy"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for b in batches:
-            sets = b.column(2)
+            sets, whole = b.column(2), b.column(3)
             for lo, hi, t in texts_of(b.column(1)):
                 begin = np.searchsorted(t.starts, t.offsets)
                 n_words = np.diff(begin)
                 removed, spans, texts = [], [], []
                 for i in range(hi - lo):
                     n, first = int(n_words[i]), sets[lo + i]
-                    gone = np.zeros(n, bool)
+                    gone = np.full(n, whole[lo + i].as_py() and n >= width)
                     if first.is_valid:
                         at = np.unique(first.values.to_numpy())
-                        gone = covered(at[at + width <= n], width, n)
+                        gone |= covered(at[at + width <= n], width, n)
                     edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]])))
                     spans.append([{"start": int(a), "end": int(e)} for a, e in zip(edge[::2], edge[1::2])])
                     removed.append(int(gone.sum()))
@@ -138,6 +154,6 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     [b.column(0).slice(lo, hi - lo), pa.array(n_words.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(spans, kinds), pa.array(texts, pa.string())],
                     ["doc_id", "n_words", "n_removed", "intervals", "kept_text"])
 
-    return met.select("doc_id", "text", "first").mapInArrow(
+    return met.mapInArrow(
         keep, "doc_id long, n_words long, n_removed long, intervals array<struct<start: int, end: int>>, kept_text string")
 
