@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,70 +20,73 @@ OPEN = 16
 END_ID = 2
 MERGED = 256
 """Partitions whose leftovers one task merges: at most MERGED * WINDOW tokens."""
-CACHED = 800_000
-"""Entries of a worker's cache of tokenized words."""
+CACHED = 600_000
+"""Entries of a worker's cache of tokenized pieces."""
 
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, leftover boolean, part long"
-_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # one token with what stands beside it; an apostrophe isn't always
+_PIECE = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[\x00-\x08\x0e-\x1f!-/:-@\[-`{-\x7f]+")
 _NAMES = [x.split()[0] for x in PIECE.split(", ")]
 
 
 class WordTokenizer:
-    """ids of a whole text, by way of its words.
+    """ids (little-endian unsigned 32-bit) of a whole text, by way of its pieces.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are
-    its words' ids in order. Words come back often, so they are kept in a bounded cache.
-    ids are held as little-endian unsigned 32-bit bytes.
+    The tokenizer lowers letters, drops white space, takes letters, single digits and runs
+    of other signs apart, and never joins across these, so a text's ids are its pieces'
+    ids in order. Pieces come back often, so they are kept in a bounded cache. Where that
+    may not hold (apostrophes, names of special tokens, signs beyond ASCII), the text is
+    cut at white space only.
     """
 
     def __init__(self, path: str, cached: int = CACHED):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cached = Tokenizer.from_file(path), cached
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        # for ASCII letters in lower case the steps before the model change nothing, where this holds
+        direct, sample = self.tokenizer.model.tokenize, ("a", "the", "tokenizer", "qzxv")
+        self.direct = direct if all([t.id for t in direct(s)] == self.tokenizer.encode(s, add_special_tokens=False).ids for s in sample) else None
+        self.pieces: dict[bytes, bytes | None] = {}
         self.words: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) + len(words) > self.cached:
-            self.words.clear()
-        if len(self.stems) > self.cached:
-            self.stems = {}
-        split = []
-        for word in words:
-            text = word.decode()
-            stem = text.rstrip(_TAIL)
-            tail = text[len(stem) :]
-            if stem.isalpha():
-                split.append((word, stem.lower() if stem.isascii() else stem, tail))
+        return array(self.kind.char, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _learn(self, pieces: set[bytes]) -> None:
+        """None for a piece that the normalizer may take apart."""
+        direct, kind, known = self.direct, self.kind.char, self.pieces
+        for piece in pieces:
+            text = piece.decode()
+            if text.isascii():
+                known[piece] = array(kind, [t.id for t in direct(text)]).tobytes() if direct and text.isalpha() else self._plain(text)
             else:
-                self.words[word] = self._plain(text)
-        new = list(dict.fromkeys(s for _, s, _ in split if s not in self.stems))
-        if new:
-            found = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
-            ids, of = np.array(found.ids, "<u4"), np.array(found.word_ids)
-            cut = np.flatnonzero(np.diff(of)) + 1
-            if len(cut) + 1 == len(new):
-                self.stems.update(zip(new, (x.tobytes() for x in np.split(ids, cut))))
-            else:  # a letter that the normalizer takes apart
-                self.stems.update((s, self._plain(s)) for s in new)
-        for tail in {t for _, _, t in split if t}:
-            if tail not in self.stems:
-                self.stems[tail] = self._plain(tail)
-        for word, stem, tail in split:
-            self.words[word] = self.stems[stem] + (self.stems[tail] if tail else b"")
+                known[piece] = self._plain(text) if self.tokenizer.normalizer.normalize_str(text).isalpha() else None
+
+    def _by_words(self, text: bytes) -> bytes:
+        split = text.split()
+        for word in set(split).difference(self.words):
+            if len(self.words) >= self.cached // 4:
+                self.words = {}
+                return self._by_words(text) if len(set(split)) < self.cached // 4 else b"".join(self._plain(w.decode()) for w in split)
+            self.words[word] = self._plain(word.decode())
+        return b"".join(map(self.words.__getitem__, split))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        missing = set().union(*split).difference(self.words)
+        split = [None if b"'" in t or b"<|" in t else _PIECE.findall(t.lower()) for t in texts]
+        pieces = set().union(*(s for s in split if s))
+        missing = pieces.difference(self.pieces)
         if missing:
-            if len(missing) + len(self.words) > self.cached:
-                missing = set().union(*split)
+            if len(missing) + len(self.pieces) > self.cached:
+                self.pieces, missing = {}, pieces
             self._learn(missing)
-        get = self.words.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        get, out = self.pieces.__getitem__, []
+        for text, s in zip(texts, split):
+            try:
+                ids = self._by_words(text) if s is None else b"".join(map(get, s))
+            except TypeError:  # None among the pieces
+                ids = self._by_words(text)
+            out.append(np.frombuffer(ids, self.kind).astype("<u4").tobytes())
+        return out
 
 
 _kept: dict[str, WordTokenizer] = {}
@@ -168,12 +173,12 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         part, tokens, end = TaskContext.get().partitionId(), word_tokenizer(tokenizer_path), np.array([end_id], "<u4").tobytes()
         packer, count = Packer(window, open_windows), part << 36
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).cast(pa.large_binary()).fill_null(b"")
+            ids, texts = b.column(0).to_pylist(), b.column(1).cast(pa.binary())
             at = 0
             while at < len(ids):
                 some, size = [], 0
                 while at + len(some) < len(ids) and size < 1 << 20:
-                    some.append(texts[at + len(some)].as_py())
+                    some.append(texts[at + len(some)].as_py() or b"")
                     size += len(some[-1])
                 for i, found in enumerate(tokens.encode(some), at):
                     found += end
