@@ -1,10 +1,308 @@
-"""Named queries over a folder of tables, and the same queries in SQL."""
+"""Named queries over a folder of tables, and the same queries in SQL.
+
+The tables stand in for the corpus: documents and pages are captured texts, a page's
+title or a document's source is what the family is read from, each line of a document is
+a fragment, labels and benchmark are what should be there, conversations and events are
+records. Each query is one plan; texts are never collected.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lapidar.functions import identity, text
+from lapidar.operators import enrich, extract, index, ledger, versions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+TERMS = ["that", "with", "edtion", "inghe", "einer", "leurs", "estas"]
+SHORT = 300
+
+
+def query(sql: str) -> Callable:
+    """Registers a query under its function's name, with its SQL."""
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
+        QUERIES[f.__name__] = f
+        SQL[f.__name__] = sql.strip()
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(*cols)
+
+
+def _quoted(words: list[str]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+def _folded(x: str) -> str:
+    return f"lower(regexp_replace(strip_accents({x}), '[^\\x00-\\x7F]', '', 'g'))"
+
+
+def _slug(x: str) -> str:
+    return f"regexp_replace(regexp_replace({_folded(x)}, '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
+
+
+_KEYWORD = f"length(token) >= 4 AND NOT regexp_matches(token, '^[0-9]+$') AND token NOT IN ({_quoted(text.STOPWORDS)})"
+_TOKENS = f"tok AS (SELECT doc_id, unnest(regexp_extract_all({_folded('text')}, '[a-z0-9]+')) AS token FROM documents)"
+_TF = f"{_TOKENS}, tf AS (SELECT doc_id, token, count(*) AS n FROM tok WHERE {_KEYWORD} GROUP BY doc_id, token)"
+_FAMILY = "CAST(TRY_CAST(nullif(regexp_extract({x}, '[0-9]{{1,3}}'), '') AS INTEGER) AS VARCHAR)"
+_CATEGORIES = "CASE {f} " + " ".join(f"WHEN '{k}' THEN '{','.join(v)}'" for k, v in identity.CATEGORIES.items()) + " ELSE 'legislacao' END"
+_LINES = "lines AS (SELECT doc_id, lang, source, i AS position, parts[i + 1] AS line FROM (SELECT doc_id, lang, source, parts, unnest(range(len(parts))) AS i FROM (SELECT doc_id, lang, source, string_split(text, chr(10)) AS parts FROM documents)))"
+
+
+@query(f"""WITH {_TF}, best AS (SELECT doc_id, count(*) AS n_terms, CAST(sum(n) AS BIGINT) AS n_places FROM tf WHERE token IN ({_quoted(TERMS)})
+GROUP BY doc_id ORDER BY n_terms DESC, n_places DESC, doc_id LIMIT 20)
+SELECT doc_id, lang, source, n_terms, n_places FROM best JOIN documents USING (doc_id)""")
+def retrieve_top_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = index.postings(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
+    return index.retrieve(found, documents(spark, sf_dir, "doc_id", "lang", "source"), "doc_id", TERMS)
+
+
+@query("""SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) AS host,
+regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path, length(html) AS n_chars FROM pages""")
+def capture_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    parts = extract.url_parts(F.col("url"))
+    return pages.select("page_id", *(parts[k].alias(k) for k in ("scheme", "host", "path")), F.length("html").cast("long").alias("n_chars"))
+
+
+@query("""SELECT page_id, CASE WHEN lower(regexp_extract(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '\\.([A-Za-z0-9]{1,5})$', 1)) = 'pdf' THEN url ELSE '' END AS pdf_url
+FROM pages""")
+def pdf_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = extract.url_parts(F.col("url"))
+    return table(spark, sf_dir, "pages").select("page_id", F.when(parts["extension"] == "pdf", F.col("url")).otherwise("").alias("pdf_url"))
+
+
+@query("""SELECT page_id, coalesce(nullif(CASE WHEN url LIKE 'http://%' THEN '' ELSE url END, ''), nullif(concat('https://archive.example/wayback/20200101000000/', url), '')) AS archive_url,
+CASE WHEN url LIKE 'http://%' THEN '20200101000000' ELSE '' END AS snapshot FROM pages""")
+def archive_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that aren't on https are read from a snapshot."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    direct = F.when(F.col("url").startswith("http://"), "").otherwise(F.col("url"))
+    snapshot = F.concat(F.lit("https://archive.example/wayback/20200101000000/"), "url")
+    best = versions.archive_url(snapshot, direct)
+    return pages.select("page_id", best.alias("archive_url"), versions.snapshot_time(best).alias("snapshot"))
+
+
+@query("""SELECT host, page_id, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY n_chars DESC, page_id) AS place FROM (
+SELECT lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) AS host, page_id, length(html) AS n_chars FROM pages WHERE NOT contains(url, '?'))) WHERE place = 1""")
+def candidate_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a host's pages without a query string, the longest."""
+    pages = table(spark, sf_dir, "pages").where(~F.col("url").contains("?"))
+    rows = pages.select(extract.url_parts(F.col("url"))["host"].alias("host"), "page_id", F.length("html").cast("long").alias("n_chars"))
+    return versions.best_candidate(rows, ["host"], [F.desc("n_chars"), F.asc("page_id")])
+
+
+@query(f"""SELECT doc_id, CASE WHEN length(text) < {SHORT} THEN concat('extracted text too short (', length(text), ' chars)') WHEN lang IN ('de', 'fr') THEN 'foreign annex' END AS error,
+CASE WHEN length(text) < {SHORT} OR lang IN ('de', 'fr') THEN 'quarantined' ELSE 'accepted' END AS status FROM documents""")
+def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "lang", "text")
+    return versions.with_status(docs, "text", F.col("lang").isin("de", "fr"), SHORT).select("doc_id", "error", "status")
+
+
+@query(f"""SELECT status, error IS NOT NULL AS failed, count(*) AS n FROM (SELECT CASE WHEN length(text) < {SHORT} THEN 'short' END AS error,
+CASE WHEN length(text) < {SHORT} OR lang IN ('de', 'fr') THEN 'quarantined' ELSE 'accepted' END AS status FROM documents) GROUP BY ALL""")
+def error_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that failed the length check stay and are counted."""
+    docs = versions.with_status(documents(spark, sf_dir, "lang", "text"), "text", F.col("lang").isin("de", "fr"), SHORT)
+    return docs.groupBy("status", versions.text_error(F.col("text"), SHORT).isNotNull().alias("failed")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT conv_id, turn, role, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS place FROM conversations) WHERE place = 1""")
+def reprocess_supersedes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest record of each id."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return versions.latest(rows, ["conv_id"], [F.col("turn"), F.col("role"), F.col("text")])
+
+
+@query("""SELECT b.doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN b.text IS NOT DISTINCT FROM l.text THEN 'same' ELSE 'changed' END AS status
+FROM documents b LEFT JOIN (SELECT doc_id, CASE WHEN lang = 'en' THEN text ELSE lower(text) END AS text FROM documents WHERE source <> 'src0') l USING (doc_id)""")
+def reconcile_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch = documents(spark, sf_dir, "doc_id", "text")
+    live = documents(spark, sf_dir, "doc_id", "lang", "source", "text").where("source <> 'src0'")
+    live = live.select("doc_id", F.when(F.col("lang") == "en", F.col("text")).otherwise(F.lower("text")).alias("text"))
+    return versions.reconcile(batch, live, "doc_id", "text")
+
+
+@query("""SELECT page_id, trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)) AS title FROM pages""")
+def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", extract.page_title(F.col("html")).alias("title"))
+
+
+@query(f"""SELECT page_id, {_slug('url')} AS slug FROM pages""")
+def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", text.slug(F.col("url")).alias("slug"))
+
+
+@query(f"""SELECT page_id, {_FAMILY.format(x='url')} AS family, {_CATEGORIES.format(f=_FAMILY.format(x='url'))} AS categories FROM pages""")
+def categorise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "pages").select("page_id", identity.family(F.col("url")).alias("family"))
+    return rows.withColumn("categories", F.array_join(identity.categories(F.col("family")), ","))
+
+
+@query(f"""WITH {_LINES}, parts AS (SELECT *, CASE WHEN position = 0 THEN 'preambulo' ELSE concat(source, '.', position) END AS section_id,
+CASE WHEN position = 0 THEN 'body' WHEN position % 7 = 0 THEN 'd-i' ELSE chr(CAST(97 + position % 5 AS INTEGER)) END AS subsection_id FROM lines)
+SELECT doc_id, position, concat_ws('-', lang, CAST(doc_id AS VARCHAR), {_slug('section_id')}, {_slug('subsection_id')}) AS id,
+CASE WHEN subsection_id = 'body' THEN section_id WHEN subsection_id = 'd-i' THEN concat(section_id, '(d)-I') ELSE concat(section_id, '(', subsection_id, ')') END AS cite,
+CASE WHEN subsection_id = 'body' THEN 'Preambulo e sumario' WHEN subsection_id = 'd-i' THEN concat(section_id, '(d)-I') ELSE concat(section_id, '(', subsection_id, ')') END AS title FROM parts""")
+def fragment_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of documents as fragments: id, citation and title."""
+    rows = fragments(spark, sf_dir)
+    section = F.when(F.col("position") == 0, "preambulo").otherwise(F.concat("source", F.lit("."), F.col("position").cast("string")))
+    sub = F.when(F.col("position") == 0, "body").when(F.col("position") % 7 == 0, "d-i").otherwise(F.char((97 + F.col("position") % 5).cast("long")))
+    rows = rows.withColumns({"section_id": section, "subsection_id": sub})
+    s, b = F.col("section_id"), F.col("subsection_id")
+    return rows.select("doc_id", "position", identity.fragment_id(F.col("lang"), F.col("doc_id").cast("string"), s, b).alias("id"),
+                       identity.cite(s, b).alias("cite"), identity.title(s, F.lit("Preambulo e sumario"), b).alias("title"))
+
+
+def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir, "doc_id", "lang", "source", "text").select(
+        "doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("position", "line")).withColumn("position", F.col("position").cast("long"))
+
+
+@query(f"""WITH {_LINES} SELECT doc_id, position FROM lines WHERE regexp_matches(split_part(line, ' ', 1), '^[0-9]{{2}}\\.[0-9]{{2}}\\.[0-9]{{2,4}}$') OR regexp_matches(line, '-[ \\t]*$')""")
+def parser_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that begin with a date taken for a section, or end in a broken word."""
+    rows = fragments(spark, sf_dir)
+    return rows.where(identity.looks_like_date(F.split_part("line", F.lit(" "), F.lit(1))) | F.col("line").rlike(r"-[ \t]*$")).select("doc_id", "position")
+
+
+@query(f"""SELECT doc_id, sha256({_folded('text')}) AS folded_sha256 FROM documents""")
+def ascii_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.sha2(text.fold(F.col("text")), 256).alias("folded_sha256"))
+
+
+@query(f"""WITH {_TOKENS} SELECT token, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM tok WHERE {_KEYWORD} GROUP BY token""")
+def tokenise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = index.postings(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
+    return found.groupBy("token").agg(F.sum("n").alias("n"), F.count("*").alias("n_docs"))
+
+
+@query(f"""WITH {_TF} SELECT doc_id, token, n FROM tf""")
+def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.term_frequencies(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
+
+
+_KEYWORDS = f"""WITH rows AS (SELECT doc_id, {_CATEGORIES.format(f=_FAMILY.format(x='source'))} AS categories, split_part(text, chr(10), 1) AS title, text FROM documents),
+tok AS (SELECT doc_id, unnest(regexp_extract_all({_folded("concat_ws(' ', title, title, text)")}, '[a-z0-9]+')) AS token FROM rows),
+tf AS (SELECT doc_id, token, count(*) AS n FROM tok WHERE {_KEYWORD} GROUP BY doc_id, token),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, token) AS place FROM tf),
+top AS (SELECT doc_id, place, token FROM ranked WHERE place <= 12),
+seeds AS (SELECT doc_id, categories FROM rows WHERE categories <> 'legislacao'),
+kept AS (SELECT top.* FROM top LEFT JOIN seeds USING (doc_id) WHERE categories IS NULL OR NOT list_contains(string_split(categories, ','), token)),
+terms AS (SELECT doc_id, string_agg(token, ',' ORDER BY place) AS terms FROM kept GROUP BY doc_id)
+SELECT doc_id, concat_ws(',', seeds.categories, terms) AS keywords FROM rows LEFT JOIN seeds USING (doc_id) LEFT JOIN terms USING (doc_id)"""
+
+
+@query(_KEYWORDS)
+def top_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories as seeds, then the top twelve terms among which they aren't; titles count."""
+    rows = documents(spark, sf_dir, "doc_id", "source", "text").select(
+        "doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), "text", identity.categories(identity.family(F.col("source"))).alias("categories"))
+    return enrich.keywords(rows, "doc_id", "title", "title", "text", "categories").select("doc_id", F.array_join("keywords", ",").alias("keywords"))
+
+
+@query(f"""WITH {_TOKENS}, n AS (SELECT doc_id, count(*) FILTER (token IN ({_quoted(enrich.FUNCTION_WORDS['pt'])})) AS pt,
+count(*) FILTER (token IN ({_quoted(enrich.FUNCTION_WORDS['en'])})) AS en FROM tok GROUP BY doc_id),
+whole AS (SELECT doc_id, coalesce(pt, 0) AS pt, coalesce(en, 0) AS en FROM documents LEFT JOIN n USING (doc_id))
+SELECT doc_id, CAST(pt AS INTEGER) AS pt, CAST(en AS INTEGER) AS en, CASE WHEN pt + en = 0 THEN NULL WHEN en / (pt + en) >= 0.8 THEN 'en' WHEN en / (pt + en) <= 0.2 THEN 'pt' ELSE 'mixed' END AS language FROM whole""")
+def language_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.language(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
+
+
+@query("""SELECT source, string_agg(DISTINCT lang, ',' ORDER BY lang) AS sections, count(*) AS fragment_count, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS fragment_ids
+FROM documents GROUP BY source""")
+def manifest_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "lang", "source").withColumn("id", F.col("doc_id").cast("string"))
+    found = index.manifest(docs, "source", "lang", ["doc_id"], "id")
+    return found.select("source", F.array_join("sections", ",").alias("sections"), "fragment_count", F.array_join("fragment_ids", ",").alias("fragment_ids"))
+
+
+@query(f"""WITH {_TF} SELECT token, count(*) AS n_texts, CAST(sum(n) AS BIGINT) AS n_places, min(doc_id) AS first_id, max(doc_id) AS last_id FROM tf GROUP BY token""")
+def keyword_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index.keyword_index(index.postings(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text"), "doc_id")
+
+
+@query(f"""SELECT category, count(*) AS n_pages, min(page_id) AS first_id, max(page_id) AS last_id FROM (
+SELECT page_id, unnest(string_split({_CATEGORIES.format(f=_FAMILY.format(x='url'))}, ',')) AS category FROM pages) GROUP BY category""")
+def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "pages").select("page_id", F.explode(identity.categories(identity.family(F.col("url")))).alias("category"))
+    return rows.groupBy("category").agg(F.count("*").alias("n_pages"), F.min("page_id").alias("first_id"), F.max("page_id").alias("last_id"))
+
+
+@query(f"""WITH {_LINES} SELECT doc_id, position, concat(lang, '/', source, '/', doc_id, '#', position) AS location, length(line) AS n_chars FROM lines""")
+def fragment_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = F.concat("lang", F.lit("/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit("#"), F.col("position").cast("string"))
+    return fragments(spark, sf_dir).select("doc_id", "position", where.alias("location"), F.length("line").cast("long").alias("n_chars"))
+
+
+@query("SELECT lang, source, count(*) AS n FROM documents GROUP BY ROLLUP (lang, source)")
+def catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index.catalog(documents(spark, sf_dir, "lang", "source"), "lang", "source")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index.coverage_gaps(documents(spark, sf_dir, "doc_id", "source"), table(spark, sf_dir, "labels"), "doc_id").select("doc_id", "source")
+
+
+@query("SELECT sha256(text) AS text_hash, count(*) AS n_copies, min(doc_id) AS first_id FROM documents GROUP BY sha256(text) HAVING count(*) > 1")
+def duplicate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index.duplicates(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
+
+
+@query(r"""SELECT key, count(*) AS n_copies, min(doc_id) AS first_id FROM (SELECT doc_id, sha256(trim(regexp_replace(lower(text), '[ \t\n\v\f\r]+', ' ', 'g'))) AS key FROM documents) GROUP BY key HAVING count(*) > 1""")
+def duplicate_text_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies but for case and white space."""
+    plain = F.trim(F.regexp_replace(F.lower("text"), r"[ \t\n\x0B\f\r]+", " "))
+    found = index.duplicates(documents(spark, sf_dir, "doc_id", "text").withColumn("text", plain), "doc_id", "text")
+    return found.withColumnRenamed("text_hash", "key")
+
+
+@query("""SELECT event_id, CASE WHEN props IS NULL OR trim(props) = '' THEN 'props' ELSE '' END AS missing FROM events WHERE props IS NULL OR trim(props) = '' OR event_type IS NULL OR trim(event_type) = ''""")
+def receipt_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ledger.incomplete(table(spark, sf_dir, "events").select("event_id", "event_type", "props"), ["event_type", "props"])
+    return found.select("event_id", F.array_join("missing", ",").alias("missing"))
+
+
+@query("""SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'two' ELSE 'one' END AS side FROM (SELECT DISTINCT doc_id AS id FROM documents) a
+FULL JOIN (SELECT DISTINCT conv_id AS id FROM conversations) b ON a.id = b.id WHERE a.id IS NULL OR b.id IS NULL""")
+def pairing_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = documents(spark, sf_dir, "doc_id").withColumnRenamed("doc_id", "id")
+    return ledger.unpaired(one, table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("id")), "id")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')")
+def lineage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    producers = table(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return ledger.broken_lineage(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), producers, "o_custkey").select("o_orderkey", "o_custkey")
+
+
+@query("SELECT page_id, host FROM (SELECT page_id, url, lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) AS host FROM pages) WHERE NOT regexp_matches(replace(url, '/de/', '/support/'), '(^|/)support/')")
+def graph_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Support paths (here: /de/) are left out of graph checks."""
+    rows = table(spark, sf_dir, "pages").select("page_id", extract.url_parts(F.col("url"))["host"].alias("host"), F.replace("url", F.lit("/de/"), F.lit("/support/")).alias("path"))
+    return ledger.graph_edges(rows, "path").select("page_id", "host")
+
+
+@query("SELECT user_id, max_by(event_type, (ts, event_id)) AS state, count(*) AS n_states FROM events GROUP BY user_id")
+def session_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.latest_state(table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id"), "user_id", "event_type", [F.col("ts"), F.col("event_id")])
+
+
+@query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def intake_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("route"))
+    return ledger.routed(sources, table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("route"), "n_name"), "route").select("c_custkey", "n_name")
