@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapidar.llm import classifier, decontamination, html_extract, license_scan, packing, pii, quality_rules, secret_scan, simhash, substring_dedup
+from lapidar.llm import classifier, decontamination, html_extract, license_scan, oracles, packing, pii, quality_rules, secret_scan, simhash, substring_dedup
 from lapidar.sources.shipping import ship
 
 
@@ -97,4 +97,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_decontamination, op3_simhash, op4_secret_scan, op5_license_scan, op6_quality_classifier, op7_substring_dedup, op8_html_extraction, op9_quality_rules, op10_packing)
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracles.SQL
