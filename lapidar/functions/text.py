@@ -37,6 +37,11 @@ def fold(text: Column) -> Column:
     return F.lower(F.regexp_replace(F.translate(wide, _FROM, _TO), r"[^\x00-\x7F]", ""))
 
 
+def strip(text: Column) -> Column:
+    """White space off both ends."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def slug(text: Column) -> Column:
     """Folded, with a dash for each run of other signs and none at the ends."""
     return F.regexp_replace(F.regexp_replace(fold(text), "[^a-z0-9]+", "-"), "^-+|-+$", "")

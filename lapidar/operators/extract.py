@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapidar.functions.text import strip
+
 # Labels of the listing pages.
 LABELS = ["Publicação", "Ementa", "Em vigor", "Anexo(s)", "Relacionados"]
 
@@ -36,5 +38,5 @@ def extracted(docs: DataFrame, text_col: str) -> DataFrame:
     text = F.col(text_col)
     names = ["kind", "code", "source", "page_url", "pdf_url", "archive_url", "ementa", "note"]
     return docs.select("*", F.regexp_extract(text, r"(?m)\A# (.*)$", 1).alias("title"), *(header_field(text, n).alias(n) for n in names),
-                       F.trim(F.regexp_extract(text, r"(?s)\n## Texto extraido\n(.*)", 1)).alias("body"),
+                       strip(F.regexp_extract(text, r"(?s)\n## Texto extraido\n(.*)", 1)).alias("body"),
                        F.create_map(*(x for label in LABELS for x in (F.lit(label), labelled(text, label)))).alias("fields"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapidar.functions.identity import looks_like_date
-from lapidar.functions.text import slug
+from lapidar.functions.text import slug, strip
 
 PREAMBLE, PREAMBLE_TITLE = "preambulo", "Preambulo e sumario"
 _NUMBER = r"[A-Z]?\d+(?:\.\d+){0,4}(?:-[IVX]+)?"
@@ -16,7 +16,7 @@ SUBSECTION = r"\(?([a-z])\)(-[IVX]+)?"
 
 
 def _parts(text: Column, boundary: str) -> Column:
-    return F.filter(F.split(text, boundary), lambda x: F.trim(x) != "")
+    return F.filter(F.split(text, boundary), lambda x: strip(x) != "")
 
 
 def sections(docs: DataFrame, id_col: str = "document", text_col: str = "text") -> DataFrame:
@@ -33,7 +33,7 @@ def sections(docs: DataFrame, id_col: str = "document", text_col: str = "text")
     section_id = F.when(number != "", number).when(named != "", slug(named)).otherwise(PREAMBLE)
     first = F.trim(F.regexp_extract("part", rf"^{_NUMBER}\.?[ \t]+([^\n]*)", 1))
     title = F.when((number != "") & (first != ""), first).when(number != "", number).when(named != "", F.trim(named)).otherwise(PREAMBLE_TITLE)
-    return rows.select("document", "position", section_id.alias("section_id"), title.alias("section_title"), F.trim("part").alias("text"))
+    return rows.select("document", "position", section_id.alias("section_id"), title.alias("section_title"), strip(F.col("part")).alias("text"))
 
 
 def subsections(found: DataFrame) -> DataFrame:
@@ -43,4 +43,4 @@ def subsections(found: DataFrame) -> DataFrame:
     roman = F.lower(F.regexp_extract("part", rf"^{SUBSECTION}[ \t]", 2))
     sub = F.when(letter == "", "body").otherwise(F.concat(letter, roman))
     return found.select("document", "position", "section_id", "section_title", part).select(
-        "document", "position", "section_id", "section_title", "subposition", sub.alias("subsection_id"), F.trim("part").alias("text"))
+        "document", "position", "section_id", "section_title", "subposition", sub.alias("subsection_id"), strip(F.col("part")).alias("text"))

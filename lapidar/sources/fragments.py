@@ -81,7 +81,7 @@ def parse(text: str) -> dict:
     return out
 
 
-def _read(files: DataFrame, schema: str, manifest: bool) -> DataFrame:
+def _read(files: DataFrame, schema: str) -> DataFrame:
     kinds = dict(re.split(r"\s+", f.strip(), maxsplit=1) for f in re.split(r",\s*", schema))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -96,23 +96,41 @@ def _read(files: DataFrame, schema: str, manifest: bool) -> DataFrame:
                 rows.append(row)
             yield pd.DataFrame(rows, columns=["path", *kinds]).astype(object).where(lambda x: x.notna(), None) if rows else pd.DataFrame(columns=["path", *kinds])
 
-    is_manifest = F.col("path").endswith("/_index.yml")
-    found = files.where(is_manifest if manifest else ~is_manifest).mapInPandas(run, f"path string, {schema}")
+    found = files.mapInPandas(run, f"path string, {schema}")
     batch = F.regexp_extract("path", r"/quarantine/(\d{4}-\d{2}-\d{2})/", 1)
     return found.withColumn("batch", F.when(batch == "", "live").otherwise(batch))
 
 
 def files(spark: SparkSession, root: str) -> DataFrame:
     """(path, value) of the .yml files below a folder. Many small files: read once, then write with sink.write_fragments()."""
-    return spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.yml").text(root).select(
+    return spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.yml").select(
         F.col("_metadata.file_path").alias("path"), "value")
 
 
+def manifest_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, value) of the manifests below a folder, one for each document.
+
+    Spark's readers leave out names with an underscore in front, so these few small
+    files are listed and read by way of the folder's file system.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listing, rows = system.listFiles(folder, True), []
+    while listing.hasNext():
+        path = listing.next().getPath()
+        if path.getName() == "_index.yml":
+            stream = system.open(path)
+            rows.append((path.toString(), jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+            stream.close()
+    return spark.createDataFrame(rows, "path string, value string")
+
+
 def read_fragments(spark: SparkSession, root: str) -> DataFrame:
     """Fragments with their path and batch ('live' outside of quarantine); an explicit schema, for files drift."""
-    return _read(files(spark, root), FRAGMENT, manifest=False)
+    return _read(files(spark, root), FRAGMENT)
 
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     """Manifests (_index.yml) with their path and batch; failed ones keep their error."""
-    return _read(files(spark, root), MANIFEST, manifest=True)
+    return _read(manifest_files(spark, root), MANIFEST)
