@@ -136,6 +136,15 @@ def covered(first: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """ASCII and Latin-1 letters in lower case; they keep their number of bytes."""
+    out = LOWER[data]
+    latin = np.flatnonzero(data[:-1] == 0xC3) + 1
+    second = data[latin]
+    out[latin[(second >= 0x80) & (second <= 0x9E) & (second != 0x97)]] += 32
+    return out
+
+
 def texts_of(column: pa.Array, limit: int = CHUNK, kinds: np.ndarray | None = None, lower: bool = False) -> Iterator[tuple[int, int, Texts]]:
     """Slices (from, to, Texts) of a string column, null as empty, of about limit bytes."""
     column = column.cast(pa.large_string()).fill_null("")
@@ -150,5 +159,5 @@ def texts_of(column: pa.Array, limit: int = CHUNK, kinds: np.ndarray | None = No
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         to = min(to, n)
         part = data[offsets[at] : offsets[to]]
-        yield at, to, Texts(LOWER[part] if lower else part, offsets[at : to + 1] - offsets[at], kinds)
+        yield at, to, Texts(lowered(part) if lower else part, offsets[at : to + 1] - offsets[at], kinds)
         at = to
