@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapidar.functions import identity, text
-from lapidar.operators import enrich, extract, index, ledger, versions
+from lapidar.operators import enrich, extract, index, ledger, split, versions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -306,3 +306,45 @@ def session_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def intake_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("route"))
     return ledger.routed(sources, table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("route"), "n_name"), "route").select("c_custkey", "n_name")
+
+
+@query(r"""SELECT doc_id, sha256(regexp_replace(text, '(\p{L})-[ \t]*\n[ \t]*(\p{Ll})', '\1\2', 'g')) AS repaired_sha256 FROM documents""")
+def hyphenation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.sha2(text.dehyphenated(F.col("text")), 256).alias("repaired_sha256"))
+
+
+@query(r"""SELECT page_id, nullif(trim(url), '') AS published, nullif(trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)), '') AS summary FROM pages""")
+def labelled_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Address and title of pages, set out under the labels of a listing and read back."""
+    title = extract.page_title(F.col("html"))
+    listing = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("Publicação\n"), "url", F.lit("\nEmenta: "), title, F.lit("\n")).alias("listing"))
+    return listing.select("page_id", extract.labelled(F.col("listing"), "Publicação").alias("published"), extract.labelled(F.col("listing"), "Ementa").alias("summary"))
+
+
+#: Lines of documents as a numbered regulation: every fourth line begins a section, the two after it are its letters.
+_NUMBERED = f"""WITH {_LINES}, numbered AS (SELECT doc_id, position AS i, 4 * ((position - 1) // 4) + 1 AS section, CASE WHEN position = 0 THEN line WHEN position % 4 = 1 THEN concat(position, '. ', line)
+WHEN position % 4 = 2 THEN concat('a) ', line) WHEN position % 4 = 3 THEN concat('b) ', line) ELSE concat('x ', line) END AS line, line AS plain FROM lines)"""
+_ENDS = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+
+
+def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mark = lambda line, i: (F.when(i == 0, line).when(i % 4 == 1, F.concat(i.cast("string"), F.lit(". "), line)).when(i % 4 == 2, F.concat(F.lit("a) "), line))
+                            .when(i % 4 == 3, F.concat(F.lit("b) "), line)).otherwise(F.concat(F.lit("x "), line)))
+    lines = F.transform(F.split("text", "\n"), mark)
+    return documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.array_join(lines, "\n").alias("text"))
+
+
+@query(f"""{_NUMBERED}, parts AS (SELECT doc_id, CASE WHEN i = 0 THEN 'preambulo' ELSE CAST(section AS VARCHAR) END AS section_id, min(i) AS first,
+arg_min(trim(plain), i) AS title, {_ENDS.format(x="string_agg(line, chr(10) ORDER BY i)")} AS text FROM numbered GROUP BY ALL)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY first) - 1 AS position, section_id,
+CASE WHEN section_id = 'preambulo' THEN 'Preambulo e sumario' WHEN title = '' THEN section_id ELSE title END AS section_title, text FROM parts WHERE text <> ''""")
+def section_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.sections(numbered(spark, sf_dir), "doc_id").withColumnRenamed("document", "doc_id").withColumn("position", F.col("position").cast("long"))
+
+
+@query(f"""{_NUMBERED}, parts AS (SELECT doc_id, CASE WHEN i = 0 THEN 'preambulo' ELSE CAST(section AS VARCHAR) END AS section_id,
+CASE WHEN i % 4 = 2 THEN 'a' WHEN i % 4 = 3 OR (i % 4 = 0 AND i > 0) THEN 'b' ELSE 'body' END AS subsection_id, {_ENDS.format(x="string_agg(line, chr(10) ORDER BY i)")} AS text FROM numbered GROUP BY ALL)
+SELECT doc_id, section_id, subsection_id, text FROM parts WHERE text <> ''""")
+def subsection_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = split.subsections(split.sections(numbered(spark, sf_dir), "doc_id"))
+    return found.select(F.col("document").alias("doc_id"), "section_id", "subsection_id", "text")

@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from lapidar.plans import catalog
+from lapidar.plans import catalog, extensions
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -25,11 +25,14 @@ def canonical(columns, rows):
     return sorted(columns), sorted(plain, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+QUERIES, SQL = catalog.QUERIES | extensions.QUERIES, catalog.SQL | extensions.SQL
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = catalog.QUERIES[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     found = canonical(df.columns, [tuple(r) for r in df.collect()])
-    rel = duck.sql(catalog.SQL[name])
+    rel = duck.sql(SQL[name])
     expected = canonical(rel.columns, rel.fetchall())
     assert found[0] == expected[0]
     assert len(found[1]) == len(expected[1])
