@@ -36,7 +36,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def powers(base: int, n: int) -> np.ndarray:
     """base**i modulo 2**64 for i below n."""
-    if len(_powers.get(base, ())) < n:
+    if base not in _powers or len(_powers[base]) < n:
         row = np.full(max(n, CHUNK + 1), base, np.uint64)
         row[0] = 1
         _powers[base] = np.cumprod(row, dtype=np.uint64)

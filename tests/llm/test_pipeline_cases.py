@@ -1,0 +1,31 @@
+"""Every stage of the pipeline on odd tables."""
+
+import pytest
+
+corpus_pipeline = pytest.importorskip("corpus_pipeline")
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, masked string, row string, kept boolean"
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stage(spark, name, stage):
+    long = " ".join(f"word{i}" for i in range(70))
+    rows = [(1, None, None, None, None, None, None, None), (2, "", "pt", "s", 0, "m", "r", True), (3, long, "pt", "s", 5, "m", "r", False), (4, long, None, None, 5, None, None, None),
+            (None, long + " more", "pt", None, 5, "m", "r", True), (5, long + ' token = "abcdefabcdef12345678"', "pt", "s", 1, "m", "r", None), (6, "w " * 60000, "pt", "s", 1, "m", "r", None)]
+    docs = spark.createDataFrame([*rows, rows[2]], SCHEMA)
+    found = stage(spark, docs, SF)
+    ids = [r["doc_id"] for r in found.select("doc_id").collect()]
+    if name == "packing":
+        assert set(ids) == {1, 2, 3, 4, 5, 6, None}
+    else:
+        assert found.columns == docs.columns
+        want = {"quality_rules": [3, 3, 4, 5, None], "simhash_near_dedup": None, "decontamination": [1, 2, 3, 3, 4, 5, 6, None], "secret_scan": [1, 2, 3, 3, 4, 5, 6, None]}[name]
+        if want is None:
+            assert 4 not in ids and {1, 3, 5, 6, None} <= set(ids) and 2 not in ids
+        else:
+            assert sorted(ids, key=str) == sorted(want, key=str)
+    if name == "secret_scan":
+        by_id = {r["doc_id"]: r for r in found.collect()}
+        assert by_id[5]["text"] == long + " [SECRET]\"" and by_id[5]["n_chars"] == len(by_id[5]["text"]) and by_id[1]["text"] is None and by_id[3]["masked"] == "m"
+    empty = stage(spark, docs.limit(0), SF)
+    assert empty.count() == 0
