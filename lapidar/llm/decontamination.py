@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lapidar.llm.matrix_sum import matrix_sum
 from lapidar.llm.textkernel import Texts, texts_of
@@ -208,9 +209,12 @@ def verdict(item: list[bytes], region: list[bytes]) -> tuple[float, float]:
     return common_order(item, region) / len(item), common_order(answer, region) / len(answer)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-               item_text_col: str = "text") -> DataFrame:
-    """One row per document and benchmark item that it holds: doc_id, item_id, first_word, share, answer_share.
+LEAKS = "array<struct<item_id: bigint, first_word: bigint, share: double, answer_share: double>>"
+
+
+def marked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+           item_text_col: str = "text", carry: bool = False) -> DataFrame:
+    """One row per row of docs: doc_id, leaks (item_id, first_word, share, answer_share of each item it holds, by item).
 
     All texts are cut in passages of PASSAGE words. Their TF-IDF matrix is decomposed by a
     randomised method in one scan (and one for the frequencies); in the latent space
@@ -218,52 +222,68 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     is near is checked by the longest common subsequence of words: SURE of the item's
     words, or LIKELY of them with the answer. Of several places the best is told.
 
-    Null and wordless texts and items match nothing; rows without id are searched and keep
-    a null id; rows that repeat an id and item give one row; empty tables give an empty
-    one; other columns are ignored. What the tasks and the driver hold has a fixed size,
-    but for ITEMS items at a time.
+    Null and wordless texts and items match nothing; null ids stay null; equal rows give
+    equal rows; empty tables give empty ones; other columns of docs don't matter. carry:
+    add the row of docs as a struct, row. Texts aren't shuffled. What the tasks and the
+    driver hold has a fixed size, but for ITEMS items at a time.
     """
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"))
-    texts = rows.select("text")
+    texts = docs.select(F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("item_id is not null and text is not null")
     idf = weights(matrix_sum(texts, frequencies, (SLOTS + 1, 1), "<f8"))
     omega = np.random.default_rng(SEED).standard_normal((SLOTS, RANK)).astype(np.float32)
     vectors = term_vectors(matrix_sum(texts, sketch(idf, omega), (SLOTS, RANK)), omega, idf)
+    rest = [F.struct(*(F.col(c) for c in docs.columns if c != text_col)).alias("rest")] if carry else []
+    found = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"), F.lit(None).cast(LEAKS).alias("leaks"), *rest)
+    schema = found.schema
     blocks = max(1, -(-items.count() // ITEMS))
-    found = None
     for block in range(blocks):
         some = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else items
         q = queries(sorted((x["item_id"], x["text"]) for x in some.collect()), vectors)
-        part = rows.mapInArrow(_search(q, vectors), "doc_id long, item_id long, first_word long, share double, answer_share double")
-        found = part if found is None else found.unionByName(part)
+        last = not carry and block == blocks - 1  # then nobody needs the texts again
+        found = found.mapInArrow(_search(q, vectors, not last), StructType(schema.fields[1:]) if last else schema)
+    leaks = F.array_sort(F.coalesce("leaks", F.array().cast(LEAKS)))
+    if not carry:
+        return found.select("doc_id", leaks.alias("leaks"))
+    whole = [(F.col("text") if c == text_col else F.col("rest").getField(c)).alias(c) for c in docs.columns]
+    return found.select("doc_id", leaks.alias("leaks"), F.struct(*whole).alias("row"))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
+    """One row per document and benchmark item that it holds: doc_id, item_id, first_word, share, answer_share.
+
+    As marked() finds them; rows that repeat an id and item give one row.
+    """
+    rows = marked(docs, benchmark, **columns).select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
     best = F.max(F.struct("share", "answer_share", (-F.col("first_word")).alias("first"))).alias("best")
-    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("best.first")).alias("first_word"), "best.share", "best.answer_share")
+    return rows.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("best.first")).alias("first_word"), "best.share", "best.answer_share")
+
 
+def _search(q: Queries, vectors: np.ndarray, with_text: bool):
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("first_word", pa.int64()), ("share", pa.float64()), ("answer_share", pa.float64())]))
 
-def _search(q: Queries, vectors: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, out = b.column(1).to_pylist(), []
+            held = b.column(2).to_pylist()
             for lo, _, t in texts_of(b.column(0), kinds=_KINDS, lower=True):
                 first, term, done = t.first, terms(t), set()
+                best: dict[tuple[int, int], tuple[float, float, int]] = {}
                 for doc, item, at in sorted(candidates(t, vectors, q)):
                     words = q.words[item]
                     slack = max(8, len(words) // 4)
                     if (doc, item, at // slack) in done:
                         continue
+                    done.add((doc, item, at // slack))
                     n = int(first[doc + 1] - first[doc])
                     a, e = max(0, at - slack), min(n, at + len(words) + 2 * slack)
-                    done.add((doc, item, at // slack))
-                    own = q.terms[item]
                     # each different term that isn't there costs a word of the common order
-                    if len(own.difference(term[first[doc] + a : first[doc] + e].tolist())) > (1 - LIKELY) * len(words):
+                    if len(q.terms[item].difference(term[first[doc] + a : first[doc] + e].tolist())) > (1 - LIKELY) * len(words):
                         continue
-                    region = [t.word(k) for k in range(first[doc] + a, first[doc] + e)]
-                    share, answer = verdict(words, region)
+                    share, answer = verdict(words, [t.word(k) for k in range(first[doc] + a, first[doc] + e)])
                     if share >= SURE or share >= LIKELY and answer >= ANSWER:
-                        out.append((ids[lo + doc], int(q.ids[item]), a, share, answer))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            cols = list(zip(*out)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "item_id", "first_word", "share", "answer_share"])
+                        best[doc, item] = max(best.get((doc, item), (0.0, 0.0, 0)), (share, answer, -a))
+                for (doc, item), (share, answer, a) in best.items():
+                    held[lo + doc] = [*(held[lo + doc] or []), {"item_id": int(q.ids[item]), "first_word": -a, "share": share, "answer_share": answer}]
+            columns = [b.column(0), b.column(1), pa.array(held, kind), *b.columns[3:]][not with_text :]
+            yield pa.RecordBatch.from_arrays(columns, b.schema.names[not with_text :])
 
     return run
