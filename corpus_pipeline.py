@@ -31,14 +31,16 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold an item of the benchmark go."""
-    return without(docs, decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark")))
+    found = decontamination.marked(docs, table(spark, sf_dir, "benchmark"), carry=True)
+    return found.where(F.size("leaks") == 0).select("row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in place; all documents stay, with n_chars counted anew."""
-    found = secret_scan.find_secrets(docs, carry=True)
-    text = secret_scan.masked("text", "spans")
-    return found.select("row.*", text.alias("masked")).withColumns({"text": F.col("masked"), "n_chars": F.length("masked").cast("long")}).select(*docs.columns)
+    found = secret_scan.find_secrets(docs, carry=True).select("row", secret_scan.masked("text", "spans").alias("masked"))
+    text = F.when(F.col("row.text").isNotNull(), F.col("masked"))
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    return found.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
