@@ -222,12 +222,14 @@ def language_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.language(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
 
 
-@query("""SELECT source, string_agg(DISTINCT lang, ',' ORDER BY lang) AS sections, count(*) AS fragment_count, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS fragment_ids
-FROM documents GROUP BY source""")
+@query(f"""WITH {_LINES} SELECT doc_id, string_agg(DISTINCT concat('s', position // 5), ',' ORDER BY concat('s', position // 5)) AS sections, count(*) AS fragment_count,
+string_agg(concat(doc_id, '-', position), ',' ORDER BY position) AS fragment_ids FROM lines GROUP BY doc_id""")
 def manifest_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir, "doc_id", "lang", "source").withColumn("id", F.col("doc_id").cast("string"))
-    found = index.manifest(docs, "source", "lang", ["doc_id"], "id")
-    return found.select("source", F.array_join("sections", ",").alias("sections"), "fragment_count", F.array_join("fragment_ids", ",").alias("fragment_ids"))
+    """Five lines to a section; a document's own lines bound what is gathered for it."""
+    rows = fragments(spark, sf_dir).select("doc_id", "position", F.concat(F.lit("s"), F.floor(F.col("position") / 5).cast("string")).alias("section"),
+                                           F.concat_ws("-", F.col("doc_id").cast("string"), F.col("position").cast("string")).alias("id"))
+    found = index.manifest(rows, "doc_id", "section", ["position"], "id")
+    return found.select("doc_id", F.array_join("sections", ",").alias("sections"), "fragment_count", F.array_join("fragment_ids", ",").alias("fragment_ids"))
 
 
 @query(f"""WITH {_TF} SELECT token, count(*) AS n_texts, CAST(sum(n) AS BIGINT) AS n_places, min(doc_id) AS first_id, max(doc_id) AS last_id FROM tf GROUP BY token""")
