@@ -24,8 +24,11 @@ EMPTY = frozenset("area base br col embed hr img input link meta param source tr
 #: Elements and words in class, id or role that stand around what is no article.
 AROUND = frozenset("nav footer aside form menu dialog button".split())
 HINTS = frozenset("ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr legal "
-                  "login masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promotion related share sharing "
-                  "sidebar signup skip social sponsor sponsored subscribe toolbar widget".split())
+                  "login menu modal nav navbar navigation newsletter notice notices pagination popup promo promotion related share sharing "
+                  "sidebar signup skip social sponsor sponsored subscribe toolbar widget copyright disclaimer overlay paywall recommended replies reply respond sitemap "
+                  "subnav topbar".split())
+#: These only where no article has begun.
+HEADERS = frozenset("header logo masthead brand".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu navigation search".split())
 #: An element that one of these starts closes an open one of those.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}} | {
@@ -40,14 +43,14 @@ _NAME = re.compile(r"[A-Za-z]+")
 FEATURES = ["words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "around", "hinted", "inside", "outside"]
 
 
-def _marks(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+def _marks(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, bool]:
     """Whether an element stands around other matter; is named like it; is hidden."""
     named = hidden = False
     if attributes and not attributes.isspace():
         for m in _ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if key in ("class", "id"):
-                named |= any(w in HINTS for w in _NAME.findall(value))
+                named |= any(w in HINTS or w in HEADERS and not inside for w in _NAME.findall(value))
             elif key == "role":
                 named |= value.strip() in ROLES
             elif key == "style":
@@ -126,7 +129,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
                 at = end.end() if end else n
                 continue
             if tag in BREAKS or tag in SILENT or m[3]:
-                a, h, hidden = _marks(tag, m[3])
+                a, h, hidden = _marks(tag, m[3], inside)
                 header = tag == "header" and not inside
                 stack.append((tag, around or a or header, hinted or h, silent or hidden or tag in SILENT, inside or tag in ("article", "main")))
                 state()

@@ -197,6 +197,8 @@ def test_licenses(spark, odd, odd_rows, empty):
     ("<article><p>First</p><div class=\"ad\">Buy</div><p>Last <b>bold</b> word</article>", "First\n\nLast bold word"),
     ("<body><div class=cookie-notice>We use them</div><article><ul><li>a<li>b</ul></article>", "a\n\nb"),
     ("<p><b>Open<br><p>Next</p>", "Open\n\nNext"),
+    ("<div class='site-header'>Site</div><article><div class='article-header'><h1>T</h1></div><p>x</p></article>", "T\n\nx"),
+    ("<main><p>x</p><section id=replies><p>y</p></section><form><label>Name</label></form></main>", "x"),
 ])
 def test_html(page, want):
     assert html_extract.main_text(page) == want
