@@ -19,7 +19,9 @@ SLOTS = 1 << 15
 RANK, SHARED = 56, 8
 """Dimensions of the decomposition; the first of them, which tell languages apart, are left out."""
 PASSAGE = 32
-"""Words in a passage of the corpus; windows of the search have as many, or half, by the item's length."""
+"""Words in a passage of the corpus; windows of the search have as many, or half or a fourth, by the item's length."""
+LEAST = 5
+"""Items of fewer words are too short to tell where they come from; they match nothing."""
 COMMON = 0.05
 """Terms in a larger share of the passages have no weight."""
 NEAR = 0.68
@@ -149,8 +151,8 @@ def queries(items: list[tuple[int, str]], vectors: np.ndarray) -> Queries:
             n = int(first[i + 1] - first[i])
             words.append([t.word(k) for k in range(first[i], first[i + 1])])
             sets.append(set(term[first[i] : first[i + 1]].tolist()))
-            width = PASSAGE if n >= 0.75 * PASSAGE else PASSAGE // 2
-            for at in sorted({*range(0, max(n - width, 0) + 1, width), max(n - width, 0)}) if n else ():
+            width = PASSAGE if n >= 0.75 * PASSAGE else PASSAGE // 2 if n >= 0.375 * PASSAGE else PASSAGE // 4
+            for at in sorted({*range(0, max(n - width, 0) + 1, width), max(n - width, 0)}) if n >= LEAST else ():
                 v = vectors[term[first[i] + at : first[i] + min(at + width, n)]].sum(0)
                 size = np.linalg.norm(v)
                 if size:
@@ -172,12 +174,12 @@ def candidates(t: Texts, vectors: np.ndarray, q: Queries) -> set[tuple[int, int,
     doc = np.repeat(np.arange(t.n), np.diff(base))
     place = np.arange(len(doc)) - base[doc]  # of a row in its text
     inside = np.flatnonzero(place < (np.diff(base) - PASSAGE // step)[doc])
-    for width in (PASSAGE // 2, PASSAGE):
+    for width in (PASSAGE // 4, PASSAGE // 2, PASSAGE):
         while size * step < width:  # the empty rows keep texts apart
             sums = sums[:-size] + sums[size:]
             size *= 2
         own = np.flatnonzero(q.width == width)
-        at = inside[place[inside] % (size // 4) == 0]
+        at = inside[place[inside] % max(1, size // 4) == 0]
         for lo in range(0, len(at) if len(own) else 0, 8192):
             some = at[lo : lo + 8192]
             window = sums[some]
