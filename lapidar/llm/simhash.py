@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapidar.llm.common import connected_components, written
@@ -171,22 +171,41 @@ def links(classes: DataFrame, distance: int = DISTANCE, group: int = GROUP, spli
     The bits are cut in distance + 1 blocks; two fingerprints that close agree in one of
     them. A group holds those that agree in (some bits of) one block; in each a
     Gray-order index is searched for all. A group gives at most one link per member. One
-    above split is dealt out by pairs of its parts, so no task holds more than 2 * split
-    or so, however near to each other they are.
+    above split is cut again in the same way by the bits outside its block, and what is
+    still above it is dealt out by pairs of its parts, so no task holds more than
+    2 * split or so, however near to each other they are.
     """
     n = classes.count()
     blocks = distance + 1
     width = BITS // blocks
     use = int(min(width, 16, max(0, math.ceil(math.log2(max(n, 1) / group)))))
     part = (1 << use) - 1
+    inner = (BITS - width) // blocks
+
+    def at(bits: Column, place: int, size: int) -> Column:
+        return F.shiftrightunsigned(bits, place).bitwiseAND(F.lit((1 << size) - 1).cast("long"))
+
+    def turned(i: int, j: int) -> Column:
+        """Bits of the j-th part of what lies outside of block i, taken in a circle from its end."""
+        place, bits = (width * (i + 1) + inner * j) % BITS, F.col("bits")
+        over = max(0, place + inner - BITS)
+        return at(bits, place, inner) if not over else at(bits, place, inner - over) + F.shiftleft(at(bits, 0, over), inner - over)
+
     keyed = classes.select("bits", "node", F.explode(F.array(*(
-        (F.shiftrightunsigned("bits", width * i).bitwiseAND(F.lit(part).cast("long")) + (i << 16)) for i in range(blocks)))).alias("key"))
+        F.struct(F.lit(i).alias("block"), (at(F.col("bits"), width * i, width).bitwiseAND(F.lit(part).cast("long")) + (i << 16)).alias("key")) for i in range(blocks)))).alias("of"))
+    keyed = keyed.select("bits", "node", "of.*")
     # at most blocks * 2**16 rows, whatever the input: safe to broadcast
-    sizes = keyed.groupBy("key").agg(F.ceil(F.count("*") / split).cast("int").alias("parts"))
-    dealt = (keyed.join(F.broadcast(sizes), "key")
-             .withColumn("own", F.pmod(F.xxhash64("bits"), F.col("parts")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "bits", "node"))
+    sizes = keyed.groupBy("key").agg((F.count("*") > split).alias("hot"))
+    keyed = keyed.join(F.broadcast(sizes), "key")
+    parts = F.lit(None)
+    for i in range(blocks):
+        parts = F.when(F.col("block") == i, F.array(*(turned(i, j) + (j << inner) for j in range(blocks)))).otherwise(parts)
+    keyed = keyed.withColumn("sub", F.explode(F.when(F.col("hot"), parts).otherwise(F.array(F.lit(-1).cast("long")))))
+    large = keyed.where("hot").groupBy("key", "sub").agg(F.ceil(F.count("*") / split).cast("int").alias("cells")).where("cells > 1")
+    dealt = (keyed.join(large, ["key", "sub"], "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+             .withColumn("own", F.pmod(F.xxhash64("bits"), F.col("cells")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+             .select("key", "sub", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "bits", "node"))
 
     def search(rows: pa.Table) -> pa.Table:
         bits, node = rows["bits"].to_numpy().view(np.uint64), rows["node"].to_numpy()
@@ -194,7 +213,7 @@ def links(classes: DataFrame, distance: int = DISTANCE, group: int = GROUP, spli
         linked = root != np.arange(len(root))
         return pa.table({"src": node[linked], "dst": node[root[linked]]})
 
-    return dealt.groupBy("key", "one", "two").applyInArrow(search, "src long, dst long")
+    return dealt.groupBy("key", "sub", "one", "two").applyInArrow(search, "src long, dst long")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE,
