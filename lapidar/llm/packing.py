@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,9 @@ OPEN = 16
 END_ID = 2
 MERGED = 256
 """Partitions whose leftovers one task merges: at most MERGED * WINDOW tokens."""
-CACHED = 600_000
+READY = 128
+"""Closed windows that are handed on together."""
+CACHED = 1_000_000
 """Entries of a worker's cache of tokenized pieces."""
 
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, leftover boolean, part long"
@@ -28,6 +30,19 @@ _PIECE = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[\x00-\x08\x0e-\x1f!-/:-@\[-`{-\x7f
 _NAMES = [x.split()[0] for x in PIECE.split(", ")]
 
 
+class Pieces(dict):
+    """ids by piece, made when first asked for; emptied when full."""
+
+    def __init__(self, make: Callable[[bytes], bytes | None], most: int):
+        self.make, self.most = make, most
+
+    def __missing__(self, piece: bytes) -> bytes | None:
+        if len(self) >= self.most:
+            self.clear()
+        found = self[piece] = self.make(piece)
+        return found
+
+
 class WordTokenizer:
     """ids (little-endian unsigned 32-bit) of a whole text, by way of its pieces.
 
@@ -41,52 +56,34 @@ class WordTokenizer:
     def __init__(self, path: str, cached: int = CACHED):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cached = Tokenizer.from_file(path), cached
+        self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         # for ASCII letters in lower case the steps before the model change nothing, where this holds
         direct, sample = self.tokenizer.model.tokenize, ("a", "the", "tokenizer", "qzxv")
         self.direct = direct if all([t.id for t in direct(s)] == self.tokenizer.encode(s, add_special_tokens=False).ids for s in sample) else None
-        self.pieces: dict[bytes, bytes | None] = {}
-        self.words: dict[bytes, bytes] = {}
+        self.pieces = Pieces(self._piece, cached)
+        self.words = Pieces(lambda word: self._plain(word.decode()), cached // 8)
 
     def _plain(self, text: str) -> bytes:
         return array(self.kind.char, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, pieces: set[bytes]) -> None:
+    def _piece(self, piece: bytes) -> bytes | None:
         """None for a piece that the normalizer may take apart."""
-        direct, kind, known = self.direct, self.kind.char, self.pieces
-        for piece in pieces:
-            text = piece.decode()
-            if text.isascii():
-                known[piece] = array(kind, [t.id for t in direct(text)]).tobytes() if direct and text.isalpha() else self._plain(text)
-            else:
-                known[piece] = self._plain(text) if self.tokenizer.normalizer.normalize_str(text).isalpha() else None
-
-    def _by_words(self, text: bytes) -> bytes:
-        split = text.split()
-        for word in set(split).difference(self.words):
-            if len(self.words) >= self.cached // 4:
-                self.words = {}
-                return self._by_words(text) if len(set(split)) < self.cached // 4 else b"".join(self._plain(w.decode()) for w in split)
-            self.words[word] = self._plain(word.decode())
-        return b"".join(map(self.words.__getitem__, split))
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [None if b"'" in t or b"<|" in t else _PIECE.findall(t.lower()) for t in texts]
-        pieces = set().union(*(s for s in split if s))
-        missing = pieces.difference(self.pieces)
-        if missing:
-            if len(missing) + len(self.pieces) > self.cached:
-                self.pieces, missing = {}, pieces
-            self._learn(missing)
-        get, out = self.pieces.__getitem__, []
-        for text, s in zip(texts, split):
+        text = piece.decode()
+        if text.isascii():
+            return array(self.kind.char, [t.id for t in self.direct(text)]).tobytes() if self.direct and text.isalpha() else self._plain(text)
+        return self._plain(text) if self.tokenizer.normalizer.normalize_str(text).isalpha() else None
+
+    def encode(self, text: bytes) -> bytes:
+        ids = None
+        if b"'" not in text and b"<|" not in text:
             try:
-                ids = self._by_words(text) if s is None else b"".join(map(get, s))
+                ids = b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower())))
             except TypeError:  # None among the pieces
-                ids = self._by_words(text)
-            out.append(np.frombuffer(ids, self.kind).astype("<u4").tobytes())
-        return out
+                pass
+        if ids is None:
+            ids = b"".join(map(self.words.__getitem__, text.split()))
+        return np.frombuffer(ids, self.kind).astype("<u4").tobytes()
 
 
 _kept: dict[str, WordTokenizer] = {}
@@ -174,17 +171,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         packer, count = Packer(window, open_windows), part << 36
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).cast(pa.binary())
-            at = 0
-            while at < len(ids):
-                some, size = [], 0
-                while at + len(some) < len(ids) and size < 1 << 20:
-                    some.append(texts[at + len(some)].as_py() or b"")
-                    size += len(some[-1])
-                for i, found in enumerate(tokens.encode(some), at):
-                    found += end
-                    packer.add((ids[i], len(found) // 4), 0, found)
-                at += len(some)
-                if packer.ready:
+            for doc_id, text in zip(ids, texts):
+                found = tokens.encode(text.as_py() or b"") + end
+                packer.add((doc_id, len(found) // 4), 0, found)
+                if len(packer.ready) >= READY:
                     yield _rows(packer.ready, count, False, part)
                     count += len(packer.ready)
                     packer.ready = []

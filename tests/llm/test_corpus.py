@@ -98,6 +98,20 @@ def test_hot_groups_are_dealt_out(spark):
     assert {r["component"] for r in found.collect()} == {0} and found.count() == len(v) - 1
 
 
+def test_hot_groups_by_brute_force(spark):
+    rng = np.random.default_rng(5)
+    v = rng.integers(0, 2**63, 12, dtype=np.uint64)[rng.integers(0, 12, 500)]
+    for _ in range(4):
+        v = v ^ np.where(rng.random(500) < 0.7, np.uint64(1) << rng.integers(0, 64, 500, dtype=np.uint64), np.uint64(0))
+    v = np.unique(v)
+    near = np.bitwise_count(v[:, None] ^ v[None, :]) <= 3
+    want = roots(len(v), [(i, j) for i, j in zip(*np.nonzero(near)) if i > j])
+    rows = spark.createDataFrame([(int(x), i) for i, x in enumerate(v.view(np.int64))], "bits long, node long")
+    for split in (10, 60):
+        found = {r["node"]: r["component"] for r in connected_components(simhash.links(rows, group=100, split=split)).collect()}
+        assert [found.get(i, i) for i in range(len(v))] == want
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(200, 300), (300, 250), (7, 7), (None, 3)] + [(400, 400 + i) for i in range(1, 90)]
     found = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
@@ -159,7 +173,7 @@ def test_tokenizer_by_pieces():
             "ΑΣ ΟΔΟΣ, ǅ", "日本語 テキスト。 한국어", "ﬁ ſ Ω", "ab-cd_ef #$% 007", "á b"]
     t = packing.WordTokenizer(tokenizer_path(), cached=20)
     for _ in range(2):
-        found = t.encode([x.encode() for x in some])
+        found = [t.encode(x.encode()) for x in some]
         assert [np.frombuffer(x, "<u4").tolist() for x in found] == [x[:-1] for x in plain_ids(some)]
 
 
@@ -284,3 +298,20 @@ def test_pipeline(spark):
     assert not {r["doc_id"] for r in state.where("text rlike '[0-9a-f]{16,}'").collect()}
     packed = corpus_pipeline.run(spark, "/root/testdata/sf0.01")
     assert {r["doc_id"] for r in packed.select("doc_id").collect()} == ids[3]
+
+
+def test_short_items(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    words = "quartz jumble fixing wizard sphinx vow plumage".split()
+    rows = spark.createDataFrame([(9000 + i, "start " * i + " ".join(words) + " end of it and more") for i in range(12)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "start end")], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs.union(rows), bench).collect()}
+    assert found == {(9000 + i, 1) for i in range(12)}
+
+
+def test_marked_carries_the_row(spark, odd, monkeypatch):
+    """Items searched for in several blocks, rows kept as they are."""
+    bench = spark.createDataFrame([(1, "same text here but longer than that"), (2, None), (3, ""), (4, "é word " * 9)], "item_id long, text string")
+    monkeypatch.setattr(decontamination, "ITEMS", 1)
+    got = decontamination.marked(odd, bench, carry=True)
+    assert sorted(got.select("row.*").collect(), key=repr) == sorted(odd.collect(), key=repr)
