@@ -43,8 +43,9 @@ def words(text: Column) -> Column:
     return F.trim(F.regexp_replace(lowered(text), GAP, " "))
 
 
-def _tokens(notice: str) -> list[str]:
-    return sorted({w for w in "".join(c if c.isalnum() else " " for c in notice.lower()).split()})
+def tokens_of(notice: str) -> list[str]:
+    """The different words of a notice, in order of the alphabet."""
+    return sorted(set("".join(c if c.isalnum() else " " for c in notice.lower()).split()))
 
 
 def need(size: int, containment: float) -> int:
@@ -68,7 +69,7 @@ def similar_blocks(rows: DataFrame, templates: dict[str, list[str]] | None = Non
     holds the templates' words alone, whatever the input, and is broadcast for that.
     """
     templates = TEMPLATES if templates is None else templates
-    notices = [(label, _tokens(notice)) for label, some in sorted(templates.items()) for notice in some]
+    notices = [(label, tokens_of(notice)) for label, some in sorted(templates.items()) for notice in some]
     vocabulary = sorted({w for _, t in notices for w in t})
     count = frequencies(rows, vocabulary)
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (count[w], w)))}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from lapidar.llm import quality_rules, substring_dedup
+import string
+
+from lapidar.llm import license_scan, quality_rules, substring_dedup
 
 _WORDS = r"regexp_extract_all({x}, '[^\x20\x09-\x0D]+')"
 
@@ -49,4 +51,30 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 CAST(n_repeat_words AS BIGINT) AS n_repeat_words, {failed} AS base_failed, NOT ({failed} OR {bad}) AS kept FROM found"""
 
 
-SQL = {"op7_substring_dedup": dedup_sql(), "op9_quality_rules": rules_sql()}
+def licenses_sql(containment: float = license_scan.CONTAINMENT) -> str:
+    low = f"translate({{x}}, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    words = r"regexp_extract_all({x}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    phrases = []
+    for phrase, label in license_scan.PHRASES.items():
+        w = phrase.split()
+        met = " AND ".join([f"w = '{w[0]}'", *(f"w{i} = '{x}'" for i, x in enumerate(w[1:], 1))])
+        phrases.append(f"SELECT doc_id, p, '{label}' AS label FROM placed WHERE {met}")
+    notices = ", ".join(
+        f"('{label}', [{', '.join(repr(w) for w in t)}], {license_scan.need(len(t), containment)})"
+        for label, some in sorted(license_scan.TEMPLATES.items()) for t in map(license_scan.tokens_of, some))
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, {words.format(x=low.format(x="coalesce(text, '')"))} AS words FROM documents),
+placed AS (SELECT doc_id, p, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2 FROM (SELECT doc_id, unnest(words) AS w, unnest(range(len(words))) AS p FROM docs) WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+places AS ({" UNION ALL ".join(phrases)}),
+base AS (SELECT doc_id, count(*) AS n, min(p) AS first, max(p) AS last, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
+notices(label, tokens, least) AS (VALUES {notices}),
+lines AS (SELECT doc_id, list_distinct({words.format(x=low.format(x="line"))}) AS own FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)),
+alike AS (SELECT doc_id, label, len(list_intersect(own, tokens)) / len(tokens) AS share FROM lines, notices WHERE len(list_intersect(own, tokens)) >= least),
+score AS (SELECT doc_id, max(share) AS score FROM alike GROUP BY doc_id),
+every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM alike UNION SELECT doc_id, label FROM places) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base, CAST(base.first AS BIGINT) AS first_word, CAST(base.last AS BIGINT) AS last_word,
+coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels, coalesce(score.score, 0.0) AS score
+FROM docs d LEFT JOIN base ON d.doc_id = base.doc_id LEFT JOIN every ON d.doc_id = every.doc_id LEFT JOIN score ON d.doc_id = score.doc_id"""
+
+
+SQL = {"op5_license_scan": licenses_sql(), "op7_substring_dedup": dedup_sql(), "op9_quality_rules": rules_sql()}
