@@ -67,7 +67,7 @@ def fragment_id(kind: Column, document: Column, section_id: Column, subsection_i
 def cite(section_id: Column, subsection_id: Column) -> Column:
     """The section, with the subsection in brackets unless it is the body; a roman suffix is in capitals."""
     letter, roman = F.split_part(subsection_id, F.lit("-"), F.lit(1)), F.split_part(subsection_id, F.lit("-"), F.lit(2))
-    inserted = F.concat(section_id, F.lit("("), letter, F.lit(")-"), F.upper(roman))
+    inserted = F.concat(section_id, F.lit("("), letter, F.lit("-"), F.upper(roman), F.lit(")"))
     return F.when(subsection_id == "body", section_id).when(roman != "", inserted).otherwise(F.concat(section_id, F.lit("("), subsection_id, F.lit(")")))
 
 

@@ -154,8 +154,8 @@ def categorise(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_LINES}, parts AS (SELECT *, CASE WHEN position = 0 THEN 'preambulo' ELSE concat(source, '.', position) END AS section_id,
 CASE WHEN position = 0 THEN 'body' WHEN position % 7 = 0 THEN 'd-i' ELSE chr(CAST(97 + position % 5 AS INTEGER)) END AS subsection_id FROM lines)
 SELECT doc_id, position, concat_ws('-', lang, CAST(doc_id AS VARCHAR), {_slug('section_id')}, {_slug('subsection_id')}) AS id,
-CASE WHEN subsection_id = 'body' THEN section_id WHEN subsection_id = 'd-i' THEN concat(section_id, '(d)-I') ELSE concat(section_id, '(', subsection_id, ')') END AS cite,
-CASE WHEN subsection_id = 'body' THEN 'Preambulo e sumario' WHEN subsection_id = 'd-i' THEN concat(section_id, '(d)-I') ELSE concat(section_id, '(', subsection_id, ')') END AS title FROM parts""")
+CASE WHEN subsection_id = 'body' THEN section_id WHEN subsection_id = 'd-i' THEN concat(section_id, '(d-I)') ELSE concat(section_id, '(', subsection_id, ')') END AS cite,
+CASE WHEN subsection_id = 'body' THEN 'Preambulo e sumario' WHEN subsection_id = 'd-i' THEN concat(section_id, '(d-I)') ELSE concat(section_id, '(', subsection_id, ')') END AS title FROM parts""")
 def fragment_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents as fragments: id, citation and title."""
     rows = fragments(spark, sf_dir)

@@ -23,8 +23,8 @@ def test_identity(spark):
     c = {k: F.col(k) for k in ("kind", "doc", "s", "b", "t")}
     row = {"kind": "rbac", "doc": "rbac-145", "s": "145.3", "b": "d-i", "t": "Titulo"}
     assert one(spark, identity.fragment_id(c["kind"], c["doc"], c["s"], c["b"]), **row) == "rbac-rbac-145-145-3-d-i"
-    assert one(spark, identity.cite(c["s"], c["b"]), **row) == "145.3(d)-I"
-    assert one(spark, identity.title(c["s"], c["t"], c["b"]), **row) == "145.3(d)-I"
+    assert one(spark, identity.cite(c["s"], c["b"]), **row) == "145.3(d-I)"
+    assert one(spark, identity.title(c["s"], c["t"], c["b"]), **row) == "145.3(d-I)"
     assert one(spark, identity.title(c["s"], c["t"], c["b"]), **row | {"b": "body"}) == "Titulo"
     assert one(spark, identity.cite(c["s"], c["b"]), **row | {"b": "a"}) == "145.3(a)"
     for title, family in (("IAC 3206", "320"), ("IS E94-003A", "94"), ("RBAC 045", "45"), ("none", None)):
