@@ -34,7 +34,8 @@ def fold(text: Column) -> Column:
     for c, plain in _SEVERAL:
         rare = F.replace(rare, F.lit(c), F.lit(plain))
     wide = F.when(text.rlike("[" + "".join(c for c, _ in _SEVERAL) + "]"), rare).otherwise(text)
-    return F.lower(F.regexp_replace(F.translate(wide, _FROM, _TO), r"[^\x00-\x7F]", ""))
+    plain = F.regexp_replace(F.translate(wide, _FROM, _TO), r"[^\x00-\x7F]", "")
+    return F.lower(F.when(F.octet_length(text) == F.length(text), text).otherwise(plain))  # ASCII has as many bytes as letters
 
 
 def strip(text: Column) -> Column:
