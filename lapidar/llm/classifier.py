@@ -59,11 +59,11 @@ def contexts(batches: Iterator[pa.RecordBatch], matrix: np.ndarray) -> None:
 
 
 def word_vectors(sums: np.ndarray) -> np.ndarray:
-    """Unit rows, weighted down for frequent words."""
+    """By dimension and slot: unit vectors, weighted down for frequent words."""
     count = sums[:, SIZE].astype(float)
     unit = sums[:, :SIZE] / np.maximum(np.linalg.norm(sums[:, :SIZE], axis=1, keepdims=True), 1e-9)
     share = count / max(count.sum(), 1)
-    return (unit * (1e-3 / (1e-3 + share))[:, None] ** 0.5).astype(np.float32)
+    return np.ascontiguousarray((unit * (1e-3 / (1e-3 + share))[:, None] ** 0.5).astype(np.float32).T)
 
 
 def pooled(t: Texts, vectors: np.ndarray) -> np.ndarray:
@@ -73,10 +73,10 @@ def pooled(t: Texts, vectors: np.ndarray) -> np.ndarray:
     if len(s):
         cut = np.flatnonzero(np.diff(t.doc, prepend=-1))
         doc, n = t.doc[cut], np.diff(np.append(cut, len(s))).astype(np.float32)[:, None]
-        v = vectors[s]
-        mean = np.add.reduceat(v, cut, axis=0) / n
+        v = np.take(vectors, s, axis=1)  # a dimension lies together: sums along it are fast
+        mean = np.add.reduceat(v, cut, axis=1).T / n
         np.multiply(v, v, out=v)
-        spread = np.sqrt(np.maximum(np.add.reduceat(v, cut, axis=0) / n - mean * mean, 0))
+        spread = np.sqrt(np.maximum(np.add.reduceat(v, cut, axis=1).T / n - mean * mean, 0))
         different = np.bincount(np.unique(t.doc * SLOTS + s) // SLOTS, minlength=t.n)[doc]
         out[doc] = np.hstack([mean, spread, np.log1p(n), (different / n[:, 0])[:, None], np.sqrt(n)])
     return out
