@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lapidar.llm import decontamination, packing, quality_rules, secret_scan, simhash
 from lapidar.llm.common import written
 from lapidar.llm.entries import table, tokenizer_path
+from lapidar.sources.shipping import ship
 
 
 def without(docs: DataFrame, lost: DataFrame) -> DataFrame:
@@ -21,11 +22,13 @@ def without(docs: DataFrame, lost: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules reject go."""
+    ship(spark)
     return quality_rules.repetition_rules(docs, carry=True).where("kept").select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the document with the smallest id stays."""
+    ship(spark)
     return without(docs, simhash.near_copies(docs).where("doc_id <> component_id"))
 
 
@@ -45,6 +48,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of tokens: the pieces of documents in them."""
+    ship(spark)
     found = packing.pack_documents(docs, tokenizer_path())
     return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
