@@ -7,7 +7,6 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from lapidar.llm import classifier, decontamination, packing, simhash, substring_dedup
@@ -246,7 +245,6 @@ def test_common_order():
     def plain(a, b):
         row = [0] * (len(b) + 1)
         for x in a:
-            row = [0, *row[1:]] if False else row
             new = [0]
             for j, y in enumerate(b):
                 new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
