@@ -53,7 +53,7 @@ def matrix_sum(rows: DataFrame, fill: Callable[[Iterator[pa.RecordBatch], np.nda
         yield from _emit(matrix, TaskContext.get().partitionId())
 
     parts = rows.mapInArrow(run, _SCHEMA)
-    n = -(-shape[0] // ROWS)
+    n = min(-(-shape[0] // ROWS), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     some = parts.repartition(n, "chunk", F.floor(F.col("part") / MERGED)).mapInArrow(_added(dtype), _SCHEMA)
     whole = some.repartition(n, "chunk").withColumn("part", F.lit(0).cast("long")).mapInArrow(_added(dtype), _SCHEMA)
     out = np.zeros(shape, dtype)
