@@ -50,7 +50,7 @@ def fingerprints(t: Texts, shingle: int = SHINGLE) -> np.ndarray:
     cut = np.flatnonzero(np.diff(doc, prepend=-1))
     size = np.diff(np.append(cut, len(doc)))
     bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    votes = np.add.reduceat(bits, cut, axis=0, dtype=np.int32)
+    votes = np.array([bits[a:b].sum(0, dtype=np.int32) for a, b in zip(cut, cut + size)])
     out[doc[cut]] = np.packbits(2 * votes > size[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
     return out
 
