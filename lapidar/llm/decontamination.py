@@ -23,7 +23,13 @@ PASSAGE = 32
 LEAST = 5
 """Items of fewer words are too short to tell where they come from; they match nothing."""
 COMMON = 0.05
-"""Terms in a larger share of the passages have no weight."""
+"""Terms in a larger share of the passages have no part in the decomposition."""
+FEW = 0.25
+"""Windows of items with fewer other terms (share of the width) are searched for by their common terms too."""
+FLOOR = 0.05
+"""Least weight of a term that the passages hold."""
+SHARERS = 8
+"""Runs of LEAST words that more items share are looked up only for items that have no rarer one."""
 NEAR = 0.68
 """Least cosine of a candidate."""
 SURE, LIKELY, ANSWER = 0.8, 0.65, 0.75
@@ -84,12 +90,18 @@ def frequencies(batches: Iterator[pa.RecordBatch], matrix: np.ndarray) -> None:
 
 
 def weights(counts: np.ndarray) -> np.ndarray:
-    """Inverse document frequency; zero for terms that are common or not there."""
+    """Inverse document frequency for the decomposition; zero for terms that are common or not there."""
     n = max(float(counts[SLOTS, 0]), 1.0)
     share = counts[:SLOTS, 0] / n
     return np.where((share > 0) & (share <= COMMON), np.log(1 / np.maximum(share, 1e-12)) + 1e-3, 0).astype(np.float32)
 
 
+def common_weights(counts: np.ndarray) -> np.ndarray:
+    """Smoothed inverse document frequency of the terms that weights() leaves out as common; zero for all others."""
+    n, found = max(float(counts[SLOTS, 0]), 1.0), counts[:SLOTS, 0]
+    return np.where(found > COMMON * n, np.maximum(np.log((n + 1) / (found + 0.5)), FLOOR), 0).astype(np.float32)
+
+
 def sketch(idf: np.ndarray, omega: np.ndarray):
     """fill() of A'(A omega), A the unit TF-IDF rows of all passages."""
     test = np.vstack([idf[:, None] * omega, np.zeros((1, omega.shape[1]), np.float32)])
@@ -114,23 +126,27 @@ def sketch(idf: np.ndarray, omega: np.ndarray):
     return fill
 
 
-def term_vectors(z: np.ndarray, omega: np.ndarray, idf: np.ndarray) -> np.ndarray:
+def term_vectors(z: np.ndarray, omega: np.ndarray, idf: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Right singular vectors of A from its sketch, as unit vectors of the terms at even scale, weighted by idf.
 
     A'A is at least z (omega' z)^-1 z', whose eigenvectors come from one decomposition of
-    a matrix of SLOTS by RANK.
+    a matrix of SLOTS by RANK. Terms that small tables leave without a direction point
+    where omega does; so do common terms, which only the second table has.
     """
     z, core = z.astype(float), omega.T.astype(float) @ z
     value, vector = np.linalg.eigh((core + core.T) / 2)
     value = np.maximum(value, max(value.max(), 1e-12) * 1e-6)
     u = np.linalg.svd(z @ (vector / np.sqrt(value)), full_matrices=False)[0][:, SHARED:]
-    unit = u / np.maximum(np.linalg.norm(u, axis=1, keepdims=True), 1e-12)
-    return (unit * idf[:, None]).astype(np.float32)
+    size = np.linalg.norm(u, axis=1, keepdims=True)
+    own = omega[:, SHARED:].astype(float)
+    unit = np.where((size > 1e-9) & (idf[:, None] > 0), u / np.maximum(size, 1e-12), own / np.linalg.norm(own, axis=1, keepdims=True))
+    return tuple((unit * w[:, None]).astype(np.float32) for w in (idf, idf + common))
 
 
 @dataclass
 class Queries:
-    """Windows of the items: latent unit vectors, by width the rows that are of it; the items' words."""
+    """Windows of the items: latent unit vectors, by width the rows that are of it, and by whole
+    those of the table with common terms; the items' words; seeds, sorted hashes of runs of LEAST words, with their items and places in them."""
 
     ids: np.ndarray
     words: list[list[bytes]]
@@ -139,32 +155,76 @@ class Queries:
     item: np.ndarray
     offset: np.ndarray
     width: np.ndarray
-
-
-def queries(items: list[tuple[int, str]], vectors: np.ndarray) -> Queries:
+    whole: np.ndarray
+    seeds: np.ndarray
+    seed_item: np.ndarray
+    seed_at: np.ndarray
+
+
+def rare_runs(run: np.ndarray, item: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the runs of all items those that SHARERS items have at most, and the rarest of each item; sorted, the first place of each."""
+    order = np.lexsort((at, item, run))
+    run, item, at = run[order], item[order], at[order]
+    first = np.ones(len(run), bool)
+    first[1:] = (run[1:] != run[:-1]) | (item[1:] != item[:-1])
+    run, item, at = run[first], item[first], at[first]
+    _, which, many = np.unique(run, return_inverse=True, return_counts=True)
+    sharers = many[which]
+    least = np.full(item.max(initial=-1) + 1, len(run) + 1)
+    np.minimum.at(least, item, sharers)
+    keep = (sharers <= SHARERS) | (sharers == least[item])
+    return run[keep], item[keep], at[keep]
+
+
+def queries(items: list[tuple[int, str]], tables: tuple[np.ndarray, np.ndarray]) -> Queries:
+    rare = tables[0].any(1)
     texts = pa.array([text for _, text in items], pa.string())
-    words, sets, rows = [], [], []
+    words, sets, rows, runs = [], [], [], []
     for lo, _, t in texts_of(texts, kinds=_KINDS, lower=True):
         term = terms(t)
         first = t.first
+        at, run = t.windows(LEAST)
+        runs.append((run, lo + t.doc[at], at - first[t.doc[at]]))
         for i in range(t.n):
             n = int(first[i + 1] - first[i])
             words.append([t.word(k) for k in range(first[i], first[i + 1])])
             sets.append(set(term[first[i] : first[i + 1]].tolist()))
             width = PASSAGE if n >= 0.75 * PASSAGE else PASSAGE // 2 if n >= 0.375 * PASSAGE else PASSAGE // 4
             for at in sorted({*range(0, max(n - width, 0) + 1, width), max(n - width, 0)}) if n >= LEAST else ():
-                v = vectors[term[first[i] + at : first[i] + min(at + width, n)]].sum(0)
-                size = np.linalg.norm(v)
-                if size:
-                    rows.append((v / size, lo + i, at, width))
-    cols = list(zip(*rows)) or [[], [], [], []]
-    return Queries(np.array([k for k, _ in items]), words, sets, np.array(cols[0], np.float32).reshape(len(rows), RANK - SHARED), *(np.array(c, np.int64) for c in cols[1:]))
+                own = term[first[i] + at : first[i] + min(at + width, n)]
+                for whole in (0, 1) if rare[own].sum() < FEW * width else (0,):
+                    v = tables[whole][own].sum(0)
+                    size = np.linalg.norm(v)
+                    if size:
+                        rows.append((v / size, lo + i, at, width, whole))
+    cols = list(zip(*rows)) or [[], [], [], [], []]
+    seeds = rare_runs(*(np.concatenate(x) for x in zip(*runs))) if runs else (np.zeros(0, np.uint64), *np.zeros((2, 0), np.int64))
+    return Queries(np.array([k for k, _ in items]), words, sets, np.array(cols[0], np.float32).reshape(len(rows), RANK - SHARED), *(np.array(c, np.int64) for c in cols[1:]), *seeds)
+
 
+def seeded(t: Texts, q: Queries) -> set[tuple[int, int, int]]:
+    """(text, item, word where the item would begin) of the runs of LEAST words that a text shares with an item.
 
-def candidates(t: Texts, vectors: np.ndarray, q: Queries) -> set[tuple[int, int, int]]:
+    Every exact copy has them, whatever its words weigh and wherever it stands.
+    """
+    at, run = t.windows(LEAST)
+    if not len(at) or not len(q.seeds):
+        return set()
+    known = np.zeros(1 << 20, bool)
+    known[q.seeds >> np.uint64(44)] = True
+    some = np.flatnonzero(known[run >> np.uint64(44)])
+    low, high = (np.searchsorted(q.seeds, run[some], side) for side in ("left", "right"))
+    many = high - low
+    row = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+    at = np.repeat(at[some], many)
+    doc = t.doc[at]
+    return set(zip(doc.tolist(), q.seed_item[row].tolist(), (at - t.first[doc] - q.seed_at[row]).tolist()))
+
+
+def candidates(t: Texts, vectors: np.ndarray, q: Queries, whole: int) -> set[tuple[int, int, int]]:
     """(text, item, word where the item would begin) of the windows whose cosine with one of an item reaches NEAR."""
     out: set[tuple[int, int, int]] = set()
-    if not len(t.starts):
+    if not len(t.starts) or not (q.whole == whole).any():
         return out
     term = terms(t)
     step = PASSAGE // 8
@@ -178,7 +238,7 @@ def candidates(t: Texts, vectors: np.ndarray, q: Queries) -> set[tuple[int, int,
         while size * step < width:  # the empty rows keep texts apart
             sums = sums[:-size] + sums[size:]
             size *= 2
-        own = np.flatnonzero(q.width == width)
+        own = np.flatnonzero((q.width == width) & (q.whole == whole))
         at = inside[place[inside] % max(1, size // 4) == 0]
         for lo in range(0, len(at) if len(own) else 0, 8192):
             some = at[lo : lo + 8192]
@@ -222,7 +282,8 @@ def marked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     randomised method in one scan (and one for the frequencies); in the latent space
     windows of every text are compared with windows of every item in blocks, and what
     is near is checked by the longest common subsequence of words: SURE of the item's
-    words, or LIKELY of them with the answer. Of several places the best is told.
+    words, or LIKELY of them with the answer. So is what shares a run of LEAST words with
+    an item, hence every exact copy, also of frequent words. Of several places the best is told.
 
     Null and wordless texts and items match nothing; null ids stay null; equal rows give
     equal rows; empty tables give empty ones; other columns of docs don't matter. carry:
@@ -231,18 +292,19 @@ def marked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     """
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("item_id is not null and text is not null")
-    idf = weights(matrix_sum(texts, frequencies, (SLOTS + 1, 1), "<f8"))
+    counts = matrix_sum(texts, frequencies, (SLOTS + 1, 1), "<f8")
+    idf = weights(counts)
     omega = np.random.default_rng(SEED).standard_normal((SLOTS, RANK)).astype(np.float32)
-    vectors = term_vectors(matrix_sum(texts, sketch(idf, omega), (SLOTS, RANK)), omega, idf)
+    tables = term_vectors(matrix_sum(texts, sketch(idf, omega), (SLOTS, RANK)), omega, idf, common_weights(counts))
     rest = [F.struct(*(F.col(c) for c in docs.columns if c != text_col)).alias("rest")] if carry else []
     found = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"), F.lit(None).cast(LEAKS).alias("leaks"), *rest)
     schema = found.schema
     blocks = max(1, -(-items.count() // ITEMS))
     for block in range(blocks):
         some = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else items
-        q = queries(sorted((x["item_id"], x["text"]) for x in some.collect()), vectors)
+        q = queries(sorted((x["item_id"], x["text"]) for x in some.collect()), tables)
         last = not carry and block == blocks - 1  # then nobody needs the texts again
-        found = found.mapInArrow(_search(q, vectors, not last), StructType(schema.fields[1:]) if last else schema)
+        found = found.mapInArrow(_search(q, tables, not last), StructType(schema.fields[1:]) if last else schema)
     leaks = F.array_sort(F.coalesce("leaks", F.array().cast(LEAKS)))
     if not carry:
         return found.select("doc_id", leaks.alias("leaks"))
@@ -260,7 +322,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFra
     return rows.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("best.first")).alias("first_word"), "best.share", "best.answer_share")
 
 
-def _search(q: Queries, vectors: np.ndarray, with_text: bool):
+def _search(q: Queries, tables: tuple[np.ndarray, np.ndarray], with_text: bool):
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("first_word", pa.int64()), ("share", pa.float64()), ("answer_share", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +331,7 @@ def _search(q: Queries, vectors: np.ndarray, with_text: bool):
             for lo, _, t in texts_of(b.column(0), kinds=_KINDS, lower=True):
                 first, term, done = t.first, terms(t), set()
                 best: dict[tuple[int, int], tuple[float, float, int]] = {}
-                for doc, item, at in sorted(candidates(t, vectors, q)):
+                for doc, item, at in sorted(candidates(t, tables[0], q, 0) | candidates(t, tables[1], q, 1) | seeded(t, q)):
                     words = q.words[item]
                     slack = max(8, len(words) // 4)
                     if (doc, item, at // slack) in done:

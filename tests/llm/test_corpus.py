@@ -307,6 +307,29 @@ def test_short_items(spark):
     assert found == {(9000 + i, 1) for i in range(12)}
 
 
+def test_exact_copies_in_a_table_of_three_rows(spark):
+    item = "what is the boiling point of water at the height of the sea in degrees the answer is one hundred"
+    rows = spark.createDataFrame([(1, f"before it {item} after it"), (2, "nothing of that kind here at all"), (3, item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, "quite another text that stands nowhere in them")], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"], r["share"]) for r in decontamination.find_leaks(rows, bench).collect()} == {(1, 1, 1.0), (3, 1, 1.0)}
+
+
+def test_copies_of_items_that_many_rows_hold(spark):
+    """Items in a third of the rows and more, among rare words, at every place; with a word changed too."""
+    rnd = random.Random(6)
+    rare = lambda n: ["".join(rnd.choice("bcdfghjklm") for _ in range(7)) for _ in range(n)]
+    items = {1: rare(18), 2: rare(7), 3: rare(40)}
+    rows = []
+    for i in range(240):
+        own = items[1 + i // 2 % 3] if i % 2 else []
+        if i % 8 == 7:
+            own = [*own[:-1], "changed"]
+        rows.append((i, " ".join([*rare(i % 13), *own, *rare(i % 7)])))
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert found == {(i, 1 + i // 2 % 3) for i in range(240) if i % 2}
+
+
 def test_marked_carries_the_row(spark, odd, monkeypatch):
     """Items searched for in several blocks, rows kept as they are."""
     bench = spark.createDataFrame([(1, "same text here but longer than that"), (2, None), (3, ""), (4, "é word " * 9)], "item_id long, text string")
