@@ -56,14 +56,15 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.find_licenses(table(spark, sf_dir, "documents"))
-    base, own = (F.transform(c, lambda x: x["label"]) for c in ("places", "similar"))
+    alike = F.concat("similar", "wrapped")
+    base, own = (F.transform(c, lambda x: x["label"]) for c in (F.col("places"), alike))
     starts = F.transform("places", lambda x: x["start"])
     return found.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
         F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union(base, own)), ",").alias("labels"),
-        F.coalesce(F.array_max(F.transform("similar", lambda x: x["share"])), F.lit(0.0)).alias("score"))
+        F.coalesce(F.array_max(F.transform(alike, lambda x: x["share"])), F.lit(0.0)).alias("score"))
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

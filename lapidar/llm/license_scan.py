@@ -31,6 +31,8 @@ CONTAINMENT = 0.8
 """Least share of a template's words that a block holds."""
 
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+PARAGRAPHS = r"\n[\x00-\x2F\x3A-\x60\x7B-\x7F]*\n"
+"""Between paragraphs: lines without a word, of comment marks too."""
 
 
 def lowered(text: Column) -> Column:
@@ -52,6 +54,22 @@ def need(size: int, containment: float) -> int:
     return math.ceil(containment * size - 1e-9)
 
 
+def reach(notice: str, containment: float) -> int:
+    """Most words in a row that a wrapped notice may take."""
+    return int(len("".join(c if c.isalnum() else " " for c in notice).split()) / containment + 1e-9)
+
+
+def tightest(every: Column, tokens: Column, width: Column) -> Column:
+    """Most different ones of tokens in any width words of every on end; each window begins at a word that is met."""
+    hits = F.filter(F.transform(every, lambda w, i: F.struct(i.alias("at"), w.alias("word"))), lambda h: F.array_contains(tokens, h["word"]))
+
+    def best(hits: Column) -> Column:
+        return F.array_max(F.transform(hits, lambda h, k: F.size(F.array_distinct(F.transform(
+            F.filter(F.slice(hits, k + 1, width), lambda g: g["at"] < h["at"] + width), lambda g: g["word"])))))
+
+    return F.element_at(F.transform(F.array(hits), best), 1)
+
+
 def frequencies(rows: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     """How often all texts hold each word of the templates; at most one count a word reaches the driver."""
     found = rows.select(F.explode(F.split(words(F.col("text")), " ")).alias("word")).where(F.col("word").isin(vocabulary))
@@ -59,8 +77,9 @@ def frequencies(rows: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 
 def similar_blocks(rows: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = CONTAINMENT) -> DataFrame:
-    """(doc_id, text) -> (doc_id, text_hash, block, label, share): lines that hold at least
-    containment of the distinct words of a template.
+    """(doc_id, text) -> (doc_id, text_hash, wide, block, label, share): lines that hold at least
+    containment of the distinct words of a template; wide: paragraphs of several lines that
+    hold as much in few words on end (reach), wherever their lines break.
 
     Words are ordered by their count in all texts, rarest first. A line can only reach
     the threshold if it holds one of the first size - need + 1 words of a template (the
@@ -69,33 +88,41 @@ def similar_blocks(rows: DataFrame, templates: dict[str, list[str]] | None = Non
     holds the templates' words alone, whatever the input, and is broadcast for that.
     """
     templates = TEMPLATES if templates is None else templates
-    notices = [(label, tokens_of(notice)) for label, some in sorted(templates.items()) for notice in some]
-    vocabulary = sorted({w for _, t in notices for w in t})
+    notices = [(label, tokens_of(notice), reach(notice, containment)) for label, some in sorted(templates.items()) for notice in some]
+    vocabulary = sorted({w for _, t, _ in notices for w in t})
     count = frequencies(rows, vocabulary)
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (count[w], w)))}
     index = []
-    for number, (label, t) in enumerate(notices):
+    for number, (label, t, width) in enumerate(notices):
         t = sorted(t, key=rank.__getitem__)
         least = need(len(t), containment)
-        index += [(w, number, label, i, len(t), least, t) for i, w in enumerate(t[: len(t) - least + 1])]
+        index += [(w, number, label, i, len(t), least, width, t) for i, w in enumerate(t[: len(t) - least + 1])]
     spark = rows.sparkSession
-    inverted = spark.createDataFrame(index, "word string, template int, label string, place int, size int, least int, tokens array<string>")
+    inverted = spark.createDataFrame(index, "word string, template int, label string, place int, size int, least int, width int, tokens array<string>")
     prefix = sorted({x[0] for x in index})
     ranked = F.array(*(F.lit(w) for w in sorted(rank, key=rank.__getitem__)))
 
     # a word of a prefix is ASCII: a text without any of them, in whatever case, has no such line
     hint = F.col("text").rlike("(?i)" + "|".join(prefix))
-    lines = rows.where(hint).select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("block", "line"))
-    sets = lines.select("doc_id", "text_hash", "block", F.array_distinct(F.split(words(F.col("line")), " ")).alias("own"))
-    sets = sets.where(F.arrays_overlap("own", F.array(*(F.lit(w) for w in prefix))))
+    def blocks(parts: Column, wide: bool) -> Column:
+        return F.transform(parts, lambda x, i: F.struct(i.alias("block"), F.lit(wide).alias("wide"), x.alias("part")))
+
+    wrapped = F.filter(blocks(F.split("text", PARAGRAPHS), True), lambda x: x["part"].contains("\n"))
+    every = F.explode(F.concat(blocks(F.split("text", "\n"), False), wrapped)).alias("x")
+    parts = rows.where(hint).select("doc_id", F.xxhash64("text").alias("text_hash"), every).select("doc_id", "text_hash", "x.*")
+    sets = parts.select("doc_id", "text_hash", "wide", "block", F.split(words(F.col("part")), " ").alias("every"))
+    sets = sets.where(F.arrays_overlap("every", F.array(*(F.lit(w) for w in prefix))))
+    sets = sets.select("doc_id", "text_hash", "wide", "block", F.array_distinct("every").alias("own"), F.when(F.col("wide"), F.col("every")).alias("every"))
     # in the order of the ranks, for array_intersect keeps that of its first side
-    sets = sets.select("doc_id", "text_hash", "block", F.size("own").alias("own_size"), F.array_intersect(ranked, F.col("own")).alias("common"))
+    sets = sets.select("doc_id", "text_hash", "wide", "block", "every", F.size("own").alias("own_size"), F.array_intersect(ranked, F.col("own")).alias("common"))
+    sets = sets.where(F.size("common") >= min(x[5] for x in index))
     met = sets.select("*", F.posexplode("common").alias("at", "word")).join(F.broadcast(inverted), "word")
     met = met.where((F.col("own_size") >= F.col("least"))
                     & (1 + F.least(F.col("size") - F.col("place"), F.size("common") - F.col("at")) - 1 >= F.col("least")))
     shared = F.size(F.array_intersect("tokens", "common"))
-    return (met.withColumn("shared", shared).where("shared >= least")
-            .groupBy("doc_id", "text_hash", "block", "label").agg(F.max(F.col("shared") / F.col("size")).alias("share")))
+    tight = F.when(F.col("wide"), tightest(F.col("every"), F.col("tokens"), F.col("width"))).otherwise(F.col("shared"))
+    return (met.withColumn("shared", shared).where("shared >= least").withColumn("shared", tight).where("shared >= least")
+            .groupBy("doc_id", "text_hash", "wide", "block", "label").agg(F.max(F.col("shared") / F.col("size")).alias("share")))
 
 
 def _starts(padded: Column, phrase: str) -> Column:
@@ -113,16 +140,18 @@ def _labelled(starts: Column, label: str) -> Column:
 
 def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, list[str]] | None = None,
                   containment: float = CONTAINMENT) -> DataFrame:
-    """One row per row of docs: doc_id, n_words, places array<struct<label, start>>, similar array<struct<label, block, share>>.
+    """One row per row of docs: doc_id, n_words, places array<struct<label, start>>, similar and wrapped array<struct<label, block, share>>.
 
     places: where the words of a phrase stand one after another (words from 0); similar:
-    lines that meet a template, in order of label and line. Null text counts as empty
+    lines that meet a template, in order of label and line; wrapped: paragraphs (from 0,
+    between lines without words) of several lines that do, so notices over many lines too. Null text counts as empty
     and has no words; null ids stay null; rows that share id and text share what is
     found; an empty table gives an empty one; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     found = similar_blocks(rows, templates, containment)
-    similar = found.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("label", "block", "share"))).alias("similar"))
+    some = F.struct("label", "block", "share")
+    similar = found.groupBy("doc_id", "text_hash").agg(*(F.array_sort(F.collect_list(F.when(F.col("wide") == wide, some))).alias(c) for c, wide in (("similar", False), ("wrapped", True))))
     padded = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.concat(F.lit(" "), words(F.col("text")), F.lit(" ")).alias("padded"))
     p = F.col("padded")
     places = F.concat(*(_labelled(_starts(p, phrase), label) for phrase, label in PHRASES.items()))
@@ -130,4 +159,5 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base = padded.select("doc_id", "text_hash", n_words.alias("n_words"), places.alias("places"))
     met = base.join(similar.withColumnsRenamed({"doc_id": "other_id", "text_hash": "other_hash"}),
                     F.col("doc_id").eqNullSafe(F.col("other_id")) & (F.col("text_hash") == F.col("other_hash")), "left")
-    return met.select("doc_id", "n_words", "places", F.coalesce("similar", F.expr("cast(array() as array<struct<label: string, block: int, share: double>>)")).alias("similar"))
+    none = F.expr("cast(array() as array<struct<label: string, block: int, share: double>>)")
+    return met.select("doc_id", "n_words", "places", *(F.coalesce(c, none).alias(c) for c in ("similar", "wrapped")))

@@ -190,6 +190,29 @@ def test_licenses(spark, odd, odd_rows, empty):
     assert license_scan.find_licenses(empty).count() == 0
 
 
+def test_licenses_over_several_lines(spark, tmp_path):
+    """Notices wrapped as license files and headers do; words that stand far apart, or in two paragraphs, are none."""
+    import textwrap
+
+    rows, want = [], {}
+    for mark in ("", " * ", "# ", "// "):
+        for label, notices in license_scan.TEMPLATES.items():
+            for notice in notices:
+                for width in (24, 72):
+                    text = "\n".join(mark + line for line in textwrap.wrap("Copyright 2020 of someone. " + notice + " And more of the same, as far as it goes.", width))
+                    rows.append((len(rows), f"{mark}Name\n{mark.rstrip()}\n{text}\n{mark}\n{mark}end"))
+                    want[rows[-1][0]] = label
+    rows += [(1000, "der Mann mit\n" + "und so weiter\n" * 9 + "under the license"), (1001, "Released under\n#\nthe MIT License"), (1002, "Released under\nthe MIT License")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: {(x["label"], x["share"]) for x in r["wrapped"]} for r in license_scan.find_licenses(df).collect()}
+    assert all((label, 1.0) in found[i] for i, label in want.items())
+    assert found[1000] == found[1001] == set() and found[1002] == {("mit", 1.0)}
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in QUERIES["op5_license_scan"](spark, str(tmp_path)).collect()}
+    assert all(label in rows[i]["labels"].split(",") and rows[i]["score"] == 1 for i, label in want.items())
+    assert rows[1000]["labels"] == rows[1001]["labels"] == "" and rows[1000]["score"] == 0
+
+
 @pytest.mark.parametrize("page, want", [
     (None, ""), ("", ""), ("<p>", ""), ("just words", "just words"),
     ("<html><body><nav><a href=x>Menu</a></nav><article><h1>T &amp; U</h1><p>One\n two<br>three.</p><p>Short</p></article><footer>&copy; us</footer></body>", "T & U\n\nOne two three.\n\nShort"),
