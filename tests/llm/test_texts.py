@@ -91,6 +91,12 @@ def test_pii_checksums_and_context():
     assert kinds("my ssn 123-45-6789") == ["national_id"] and kinds("code 123-45-6789") == []
 
 
+def test_pii_ibans_among_other_words():
+    one, two = "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"
+    for text, want in ((f"{one} BIC COBADEFF", [one]), (f"{one} EUR 500", [one]), (f"XY12 {one} OK", [one]), (f"{one} {two} NOK 20", [one, two]), ("DE88 3704 0044 0532 0130 00 BIC", [])):
+        assert [text[a:b] for a, b in pii.ibans(text)] == want
+
+
 def test_pii_query(spark, odd, empty):
     assert pii.find_pii(empty).count() == 0
     assert pii.find_pii(odd).count() == odd.count()
