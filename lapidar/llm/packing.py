@@ -26,7 +26,10 @@ CACHED = 1_000_000
 """Entries of a worker's cache of tokenized pieces."""
 
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, leftover boolean, part long"
-_PIECE = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[\x00-\x08\x0e-\x1f!-/:-@\[-`{-\x7f]+")
+SLICE = 1 << 20
+"""Bytes of a text that are tokenized at once; cut at white space."""
+_PIECE = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]|[\x00-\x08\x0e-\x1f!-/:-@\[-`{-\x7f]+")
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _NAMES = [x.split()[0] for x in PIECE.split(", ")]
 
 
@@ -71,19 +74,27 @@ class WordTokenizer:
         """None for a piece that the normalizer may take apart."""
         text = piece.decode()
         if text.isascii():
-            return array(self.kind.char, [t.id for t in self.direct(text)]).tobytes() if self.direct and text.isalpha() else self._plain(text)
+            return array(self.kind.char, [t.id for t in self.direct(text.lower())]).tobytes() if self.direct and text.isalpha() else self._plain(text)
+        # in its own case: a capital and the mark after it may not compose where the small letter does
         return self._plain(text) if self.tokenizer.normalizer.normalize_str(text).isalpha() else None
 
-    def encode(self, text: bytes) -> bytes:
-        ids = None
+    def _slice(self, text: bytes) -> bytes:
         if b"'" not in text and b"<|" not in text:
             try:
-                ids = b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower())))
+                return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
             except TypeError:  # None among the pieces
                 pass
-        if ids is None:
-            ids = b"".join(map(self.words.__getitem__, text.split()))
-        return np.frombuffer(ids, self.kind).astype("<u4").tobytes()
+        return b"".join(map(self.words.__getitem__, text.split()))
+
+    def encode(self, text: bytes, size: int = SLICE) -> bytes:
+        """Slice by slice, so that the pieces of a long text are never listed at once."""
+        out, at = [], 0
+        while at < len(text):
+            cut = _BLANK.search(text, at + size) if len(text) - at > size else None
+            to = cut.start() if cut else len(text)
+            out.append(np.frombuffer(self._slice(text[at:to]), self.kind).astype("<u4").tobytes())
+            at = to
+        return b"".join(out)
 
 
 _kept: dict[str, WordTokenizer] = {}
@@ -162,7 +173,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     fit, else the fullest is filled up by a cut and closed. At its end it merges what is
     open, and one task for MERGED partitions merges the rest, so at most one sequence for
     MERGED partitions isn't full. Null ids stay null; rows that repeat an id are packed
-    each; an empty table gives no sequence. What the partitions pack is written to the
+    each, equal fills are taken in the order in which they were opened; an empty table
+    gives no sequence; other columns are ignored. A long text is tokenized in slices, so
+    next to the text and its ids a task holds a fixed amount; a run of SLICE bytes
+    without white space is one slice. What the partitions pack is written to the
     shared folder once, so a lost executor doesn't deal it anew. Only leftovers are
     shuffled.
     """

@@ -176,6 +176,16 @@ def test_tokenizer_by_pieces():
         assert [np.frombuffer(x, "<u4").tolist() for x in found] == [x[:-1] for x in plain_ids(some)]
 
 
+def test_tokenizer_on_marks_after_capitals():
+    """Random texts of letters in both cases, marks that compose with some, digits, signs and white space; in slices too."""
+    rnd = random.Random(1)
+    letters = [*"aAyYTtJjHhIi ieE1=<\n'.,", *"\u030a\u0308\u030c\u0331\u0307\u0301\u0338\u0130ßéÉ日Σ\xa0\u200d\u212a\u212bǅ", "<|endoftext|>"]
+    some = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 14))) for _ in range(4000)] + ["Y\u030a", "T\u0308", "J\u030c", "H\u0331"]
+    t = packing.WordTokenizer(tokenizer_path())
+    for text, want in zip(some, plain_ids(some)):
+        assert np.frombuffer(t.encode(text.encode()), "<u4").tolist() == np.frombuffer(t.encode(text.encode(), 5), "<u4").tolist() == want[:-1], ascii(text)
+
+
 def check_packed(rows, want, window):
     """want: by document, the ids of each row that has it."""
     docs, sequences = defaultdict(list), defaultdict(list)
