@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where the session names none (tests in local mode) a temporary folder is set.
+    Only in local mode (tests) a temporary folder is set where the session names none; on
+    a cluster that is an error, for no other machine could read it.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lapidar-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -33,6 +37,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """For each place of an array of integers, step (associative) over all values up to it.
+
+    A scan by doubling: log2(n) passes over the array, each linear, where an aggregate
+    that appends would copy what it has for each value.
+    """
+    widths = F.filter(F.array(*(F.lit(1 << k) for k in range(31))), lambda w: w < F.size(values))
+    none = F.lit(None).cast("int")
+    return F.aggregate(widths, values, lambda done, w: F.zip_with(
+        done, F.concat(F.array_repeat(none, w), F.slice(done, 1, F.size(done) - w)), lambda a, b: F.coalesce(step(b, a), a)))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(src long, dst long) undirected edges -> (node, component): the smallest node reachable.
 

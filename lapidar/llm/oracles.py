@@ -59,17 +59,28 @@ def licenses_sql(containment: float = license_scan.CONTAINMENT) -> str:
         w = phrase.split()
         met = " AND ".join([f"w = '{w[0]}'", *(f"w{i} = '{x}'" for i, x in enumerate(w[1:], 1))])
         phrases.append(f"SELECT doc_id, p, '{label}' AS label FROM placed WHERE {met}")
-    notices = ", ".join(
-        f"('{label}', [{', '.join(repr(w) for w in t)}], {license_scan.need(len(t), containment)})"
-        for label, some in sorted(license_scan.TEMPLATES.items()) for t in map(license_scan.tokens_of, some))
+    lists = lambda some: f"[{', '.join(map(repr, some))}]"
+    every = license_scan.notices_of(license_scan.TEMPLATES, containment)
+    notices = ", ".join(f"({i}, '{x.label}', {lists(x.tokens)}, {lists(x.names)}::VARCHAR[], {x.least}, {x.width}, {lists(x.explained)}::INTEGER[])" for i, x in enumerate(every))
+    gap = license_scan.PARAGRAPHS
     return f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, {words.format(x=low.format(x="coalesce(text, '')"))} AS words FROM documents),
 placed AS (SELECT doc_id, p, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2 FROM (SELECT doc_id, unnest(words) AS w, unnest(range(len(words))) AS p FROM docs) WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
 places AS ({" UNION ALL ".join(phrases)}),
 base AS (SELECT doc_id, count(*) AS n, min(p) AS first, max(p) AS last, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
-notices(label, tokens, least) AS (VALUES {notices}),
-lines AS (SELECT doc_id, list_distinct({words.format(x=low.format(x="line"))}) AS own FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)),
-alike AS (SELECT doc_id, label, len(list_intersect(own, tokens)) / len(tokens) AS share FROM lines, notices WHERE len(list_intersect(own, tokens)) >= least),
+notices(template, label, tokens, names, least, width, explained) AS (VALUES {notices}),
+blocks AS (SELECT doc_id, wide, block, part, {words.format(x=low.format(x="part"))} AS every FROM (
+SELECT doc_id, false AS wide, unnest(range(len(parts))) AS block, unnest(parts) AS part FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM docs) UNION ALL
+SELECT doc_id, true, unnest(range(len(parts))), unnest(parts) FROM (SELECT doc_id, regexp_split_to_array(text, '{gap}') AS parts FROM docs)) WHERE NOT wide OR contains(part, chr(10))),
+met AS (SELECT doc_id, wide, block, every, template, label, tokens, least, width, explained, len(list_intersect(list_distinct(every), tokens)) AS shared FROM blocks, notices
+WHERE list_has_all(every, names) AND len(list_intersect(list_distinct(every), tokens)) >= least),
+hits AS (SELECT doc_id, block, template, p, w FROM (SELECT doc_id, block, template, tokens, unnest(range(len(every))) AS p, unnest(every) AS w FROM met WHERE wide) WHERE list_contains(tokens, w)),
+tight AS (SELECT doc_id, block, template, max(n) AS shared FROM (SELECT a.doc_id, a.block, a.template, a.p, count(DISTINCT b.w) AS n FROM hits a JOIN met m ON m.wide AND a.doc_id = m.doc_id AND a.block = m.block AND a.template = m.template
+JOIN hits b ON a.doc_id = b.doc_id AND a.block = b.block AND a.template = b.template AND b.p BETWEEN a.p AND a.p + m.width - 1 GROUP BY ALL) GROUP BY ALL),
+fit AS (SELECT m.doc_id, wide, m.block, m.template, label, explained, CASE WHEN wide THEN t.shared ELSE m.shared END AS n, CASE WHEN wide THEN t.shared ELSE m.shared END / len(tokens) AS share
+FROM met m LEFT JOIN tight t ON m.doc_id = t.doc_id AND m.block = t.block AND m.template = t.template WHERE NOT wide OR t.shared >= least),
+alike AS (SELECT doc_id, label, share FROM fit x WHERE NOT EXISTS (SELECT 1 FROM fit y WHERE x.doc_id = y.doc_id AND x.wide = y.wide AND x.block = y.block AND list_contains(x.explained, y.template)
+AND (y.share > x.share OR y.share = x.share AND y.n > x.n))),
 score AS (SELECT doc_id, max(share) AS score FROM alike GROUP BY doc_id),
 every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM alike UNION SELECT doc_id, label FROM places) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base, CAST(base.first AS BIGINT) AS first_word, CAST(base.last AS BIGINT) AS last_word,

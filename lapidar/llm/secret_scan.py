@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapidar.llm.common import let, running
+
 #: By kind: the pattern, and the group whose length must reach the least. A run of hex
 #: digits, or of AKIA and what follows, is one match whatever its length, so the least
 #: can stand in those patterns.
@@ -37,23 +39,17 @@ ENCODINGS = [
 def _places(text: Column, pattern: str, group: Column | None = None, least: int = 0) -> Column:
     """array<struct<start, end>> of the matches; group: text of a group of each, least its least length."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    sizes = F.zip_with(F.transform(F.split(text, pattern, -1), F.length), F.transform(found, F.length), lambda gap, own: F.struct(gap.alias("gap"), own.alias("own")))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start: int, end: int>>)").alias("out"))
-    walked = F.aggregate(
-        sizes, start,
-        lambda s, x: F.struct(
-            (s["at"] + x["gap"] + F.coalesce(x["own"], F.lit(0))).alias("at"),
-            F.when(x["own"].isNull(), s["out"]).otherwise(F.array_append(s["out"], F.struct(
-                (s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + x["own"]).alias("end")))).alias("out")),
-        lambda s: s["out"])
-    if group is None:
-        return walked
-    return F.filter(F.zip_with(walked, group, lambda w, g: F.struct(w["start"].alias("start"), w["end"].alias("end"), F.length(g).alias("size"))), lambda x: x["size"] >= least)
+    sizes = F.struct(F.transform(F.split(text, pattern, -1), F.length).alias("gap"), F.transform(found, F.length).alias("own"))
 
+    def walked(x: Column) -> Column:
+        steps = F.zip_with(F.slice(x["gap"], 1, F.size(x["own"])), x["own"], lambda gap, own: gap + own)
+        ends = let(steps, lambda s: running(s, lambda a, b: a + b))
+        return F.zip_with(ends, x["own"], lambda end, own: F.struct((end - own).alias("start"), end.alias("end")))
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is worked out once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    places = let(sizes, walked)
+    if group is None:
+        return places
+    return F.filter(F.zip_with(places, group, lambda w, g: F.struct(w["start"].alias("start"), w["end"].alias("end"), F.length(g).alias("size"))), lambda x: x["size"] >= least)
 
 
 def _tail(z: Column) -> Column:
@@ -62,10 +58,10 @@ def _tail(z: Column) -> Column:
     c = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
 
     def above(x: Column) -> Column:
-        poly = _let(1 / (1 + 0.3275911 * x), lambda t: t * (c[0] + t * (c[1] + t * (c[2] + t * (c[3] + t * c[4])))))
+        poly = let(1 / (1 + 0.3275911 * x), lambda t: t * (c[0] + t * (c[1] + t * (c[2] + t * (c[3] + t * c[4])))))
         return 0.5 * poly * F.exp(-x * x)
 
-    return F.when(z >= 0, _let(F.abs(z) / 2**0.5, above)).otherwise(1 - _let(F.abs(z) / 2**0.5, above))
+    return F.when(z >= 0, let(F.abs(z) / 2**0.5, above)).otherwise(1 - let(F.abs(z) / 2**0.5, above))
 
 
 def _sum(values: Column, term: Callable[[Column], Column]) -> Column:
@@ -102,20 +98,20 @@ def randomness(token: Column) -> Column:
             n.alias("n"), ((m / n * x["squares"] - n - (m - 1)) / F.sqrt(2 * (m - 1) * (n - 1) / n)).alias("chi"),
             _sum(x["values"], lambda v: F.when(v > m / 2, 1.0).otherwise(0.0)).alias("high"),
             (1 + _sum(pairs(x["values"]), lambda p: F.when((p["a"] > m / 2) != (p["b"] > m / 2), 1.0).otherwise(0.0))).alias("runs"),
-            _let(_sum(x["values"], lambda v: v) / n, lambda mean: F.struct(
+            let(_sum(x["values"], lambda v: v) / n, lambda mean: F.struct(
                 _sum(x["values"], lambda v: (v - mean) * (v - mean)).alias("own"), _sum(pairs(x["values"]), lambda p: (p["a"] - mean) * (p["b"] - mean)).alias("next"))).alias("spread"))
 
     def tests(x: Column) -> Column:
         n, twice = x["n"], 2 * x["high"] * (x["n"] - x["high"])
-        run_z = _let(F.struct(twice.alias("twice"), (twice * (twice - n) / (n * n * (n - 1))).alias("var")),
+        run_z = let(F.struct(twice.alias("twice"), (twice * (twice - n) / (n * n * (n - 1))).alias("var")),
                      lambda y: F.when(y["var"] > 0, (x["runs"] - 1 - y["twice"] / n) / F.sqrt(y["var"])).otherwise(F.sqrt(n)))
         serial_z = F.when(x["spread"]["own"] > 0, (x["spread"]["next"] / x["spread"]["own"] + 1 / n) * F.sqrt(n)).otherwise(F.sqrt(n))
-        return F.array(_tail(x["chi"]), 2 * _let(F.abs(run_z), _tail), 2 * _let(F.abs(serial_z), _tail))
+        return F.array(_tail(x["chi"]), 2 * let(F.abs(run_z), _tail), 2 * let(F.abs(serial_z), _tail))
 
     start = F.struct(token.alias("text"), _encoding(token).alias("letters"))
-    both = _let(_let(_let(start, symbols), sums), tests)
+    both = let(let(let(start, symbols), sums), tests)
     evidence = _sum(both, lambda p: -F.log(F.least(F.greatest(p, F.lit(1e-30)), F.lit(1.0))))
-    return _let(evidence, lambda e: F.exp(-e) * (1 + e + e * e / 2))  # chi-squared of six degrees above 2 * e
+    return let(evidence, lambda e: F.exp(-e) * (1 + e + e * e / 2))  # chi-squared of six degrees above 2 * e
 
 
 def _mixed(token: Column) -> Column:
@@ -187,17 +183,52 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return _bin(randomness(x["token"])) < most  # put aside from the cut on
 
     found = rows.select("doc_id", "text", *names, F.array_sort(F.concat(assign, access, hexes)).alias("base"), F.when(text.rlike(CANDIDATE), runs).alias("runs"))
-    free = F.filter("runs", lambda r: ~F.exists("base", lambda s: (s["start"] < r["end"]) & (r["start"] < s["end"])) & random(r))
+    free = F.filter(_apart("runs", "base"), random)
     added = F.when(F.size("runs") > 0, spans(free, 3)).otherwise(none)
     return found.select("doc_id", "text", *names, F.array_sort(F.concat("base", added)).alias("spans"))
 
 
+def _apart(runs: str, base: str) -> Column:
+    """Those of runs, which don't overlap each other, that no span of base overlaps."""
+    every = F.array_sort(F.concat(
+        F.transform(base, lambda x: F.struct(x["start"].alias("start"), F.lit(0).alias("run"), x["end"].alias("end"), F.lit("").alias("token"))),
+        F.transform(runs, lambda x: F.struct(x["start"].alias("start"), F.lit(1).alias("run"), x["end"].alias("end"), x["token"].alias("token")))))
+    most = F.lit((1 << 31) - 1)
+
+    def scans(x: Column) -> Column:
+        ends = F.transform(x, lambda s: F.when(s["run"] == 0, s["end"]).otherwise(0))
+        starts = F.transform(F.reverse(x), lambda s: F.when(s["run"] == 0, s["start"]).otherwise(most))
+        return F.struct(x.alias("spans"), let(ends, lambda e: running(e, F.greatest)).alias("reached"), F.reverse(let(starts, lambda s: running(s, F.least))).alias("next"))
+
+    def chosen(x: Column) -> Column:
+        placed = F.zip_with(F.zip_with(x["spans"], x["reached"], lambda s, e: F.struct(s.alias("span"), e.alias("reached"))), x["next"],
+                            lambda s, n: F.struct(s["span"].alias("span"), s["reached"].alias("reached"), n.alias("next")))
+        kept = F.filter(placed, lambda s: (s["span"]["run"] == 1) & (s["reached"] <= s["span"]["start"]) & (s["next"] >= s["span"]["end"]))
+        return F.transform(kept, lambda s: s["span"])
+
+    return F.when(F.size(base) == 0, F.transform(runs, lambda x: F.struct(x["start"].alias("start"), F.lit(1).alias("run"), x["end"].alias("end"), x["token"].alias("token")))).otherwise(let(let(every, scans), chosen))
+
+
 def masked(text_col: str = "text", spans_col: str = "spans") -> Column:
-    """Text of find_secrets() with each stretch of spans replaced by MASK."""
-    text = F.col(text_col)
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    done = F.aggregate(spans_col, start, lambda s, x: F.when(x["end"] <= s["at"], s).otherwise(F.struct(
-        x["end"].alias("at"),
-        F.when(x["start"] < s["at"], s["out"]).otherwise(F.concat(s["out"], F.array(F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(MASK)))).alias("out"))),
-        lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans_col) == 0, text).otherwise(done)
+    """Text of find_secrets() with each stretch of spans replaced by MASK.
+
+    The text is cut as UTF-32, where a place is found without walking there, so work
+    grows with the text and its spans, not their product.
+    """
+    text, spans = F.col(text_col), F.col(spans_col)
+    mark = F.lit(bytearray(b"\x00\x00\xfe\xff"))  # else a piece's own first U+FEFF would be taken for it
+
+    def pieces(x: Column) -> Column:
+        """(from, to) of what stands before each span; nothing where an earlier span reaches over its start."""
+        before = F.concat(F.array(F.lit(0)), x["reached"])
+        return F.zip_with(F.slice(before, 1, F.size(x["starts"])), x["starts"], lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+    def cut(x: Column) -> Column:
+        part = lambda a, b: F.decode(F.concat(mark, F.substring(x["code"], 4 * a + 1, 4 * (b - a))), "UTF-32")
+        some = F.transform(F.filter(pieces(x), lambda p: p["b"] >= p["a"]), lambda p: F.concat(part(p["a"], p["b"]), F.lit(MASK)))
+        last = F.element_at(x["reached"], -1)
+        return F.concat(F.array_join(some, ""), part(last, F.octet_length(x["code"]) / 4))
+
+    ends = let(F.transform(spans, lambda x: x["end"]), lambda e: running(e, F.greatest))
+    done = let(F.struct(F.encode(text, "UTF-32").alias("code"), F.transform(spans, lambda x: x["start"]).alias("starts"), ends.alias("reached")), cut)
+    return F.when(F.size(spans) == 0, text).otherwise(done)
