@@ -300,6 +300,56 @@ def test_html(page, want):
     assert html_extract.main_text(page) == want
 
 
+_TOLD = "The council said on Monday that it would rebuild the old bridge over the river before the winter, and that the cost would be shared with the region."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div>Home | News</div><h1>Bridge to be rebuilt</h1><p>{_TOLD}</p><p>It is late.</p><p>{_TOLD} {_TOLD}</p><div>Copyright 2020 Town. All rights reserved.</div>",
+     ["Bridge to be rebuilt", _TOLD, "It is late.", f"{_TOLD} {_TOLD}"]),
+    (f"<div><div>Site name</div><div><a href=a>Home</a> <a href=b>About us</a></div></div><div><div>{_TOLD}</div><div>{_TOLD} {_TOLD}</div></div><div>Made by us</div>", [_TOLD, f"{_TOLD} {_TOLD}"]),
+    (f"<h1>Words of the head</h1><p>{_TOLD}</p><p><a href=x>{_TOLD}</a></p><p>{_TOLD}</p><ul><li><a href=q>One more</a></li><li><a href=q>Two more of it</a></li></ul>", ["Words of the head", *[_TOLD] * 3]),
+    (f"<div class='layout has-sidebar'><article><h1>T</h1><p>{_TOLD}</p></article></div>", ["T", _TOLD]),
+    (f"<div class=no-sidebar><h1>T</h1><p>{_TOLD}</p><p>{_TOLD}</p></div>", ["T", _TOLD, _TOLD]),
+    (f"<form id=aspnetForm><h1>T</h1><p>{_TOLD}</p><p>{_TOLD}</p><div class=menu>Files</div></form>", ["T", _TOLD, _TOLD]),
+    (f"<nav><a href=x>a</a></nav><article><div class=legal-text><p>{_TOLD}</p><p>{_TOLD}</p></div><div class=legal>Ours</div></article><footer>f</footer>", [_TOLD, _TOLD]),
+    (f"<article><div>{_TOLD}</div><div class=ad>Buy it</div><div>Short</div><div><a href=x>Link</a></div></article><div>{_TOLD}</div>", [_TOLD, "Short", "Link"]),
+    (f"<div>{_TOLD}</div><div>{_TOLD}</div>", [_TOLD, _TOLD]),
+])
+def test_html_of_other_layouts(page, want):
+    """Pages that are not in the labelled table, most of them without names that tell."""
+    assert html_extract.main_text(page).split("\n\n") == want
+
+
+def test_html_tree_decides_on_words_links_and_neighbours():
+    used = set()
+
+    def walk(t):
+        if t.feature >= 0:
+            used.add(html_extract.FEATURES[t.feature])
+            walk(t.low)
+            walk(t.high)
+
+    tree = html_extract.classifier()
+    walk(tree)
+    assert used >= {"words", "link_density"} and used & {"words_before", "words_after", "words_near"}
+    x, _ = html_extract.labelled()
+    x = np.random.default_rng(1).permuted(np.tile(x, (20, 1)), axis=0)  # any mixture of values
+    x[:, [html_extract.FEATURES.index(c) for c in ("marked", "inside", "outside")]] = 0, 1, 0
+    assert (tree(x) > 0.5).all()  # nothing of an article goes but what a mark names
+    x[:, html_extract.FEATURES.index("marked")] = 1
+    assert (tree(x) <= 0.5).all()
+
+
+def test_html_in_linear_time():
+    import time
+
+    n = 50_000
+    for page in ("<div>" * n + "</span>" * n, "<span class=x>" * n + "<p>t</p>" * n, "<li><b id=q>" * n, "<article>" * n + "x", '<a href="' * n, "<p><table>" * n + "<div>a</div>" * n, "a < b " * n):
+        began = time.time()
+        html_extract.main_text(page)
+        assert time.time() - began < 20
+
+
 def test_html_tables(spark, empty):
     pages = spark.createDataFrame([(1, None, None, "x"), (None, "u", "<article><p>a</p></article>", "x"), (2, "u", "<p>" * 3000 + "deep", "x")], "page_id long, url string, html string, text string")
     got = {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()}
