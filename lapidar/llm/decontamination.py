@@ -21,7 +21,7 @@ RANK, SHARED = 56, 8
 PASSAGE = 32
 """Words in a passage of the corpus; windows of the search have as many, or half or a fourth, by the item's length."""
 LEAST = 5
-"""Items of fewer words are too short to tell where they come from; they match nothing."""
+"""Words in a run that leads to an item; an item with fewer is looked up as a whole, and matches nothing but itself."""
 COMMON = 0.05
 """Terms in a larger share of the passages have no part in the decomposition."""
 FEW = 0.25
@@ -32,10 +32,14 @@ SHARERS = 8
 """Runs of LEAST words that more items share are looked up only for items that have no rarer one."""
 NEAR = 0.68
 """Least cosine of a candidate."""
-SURE, LIKELY, ANSWER = 0.8, 0.65, 0.75
-"""Shares of an item's words in common order with the text: enough alone; enough with the answer; of the answer's words."""
-ITEMS = 20_000
-"""Items that are searched for at once; more are taken in blocks, each with a scan of its own."""
+LONG = 15
+"""Items with so many words are told from chance by a smaller share of them."""
+SURE, LIKELY, ANSWER = (0.8, 0.7), (0.65, 0.58), (0.75, 0.5)
+"""Shares of a short and of a LONG item's words in common order with the text: enough alone; enough with the answer; of the answer's words."""
+ITEMS, ITEM_BYTES = 20_000, 1 << 24
+"""Items, and about their bytes, that are searched for at once; more are taken in blocks, each with a scan of its own."""
+COMPARED = 1 << 22
+"""Cosines held at once."""
 SEED = 11
 
 #: Words are runs of letters and digits, in lower case: signs and spacing don't matter.
@@ -76,10 +80,17 @@ def added(table: np.ndarray, which: np.ndarray) -> np.ndarray:
     return out
 
 
+def parts_of(column: pa.Array) -> Iterator[Texts]:
+    """Texts of a column, long ones in parts; PIECE is a multiple of PASSAGE, so passages are the same."""
+    for _, _, t in texts_of(column, kinds=_KINDS, lower=True):
+        for _, part in t.pieces():
+            yield part
+
+
 def frequencies(batches: Iterator[pa.RecordBatch], matrix: np.ndarray) -> None:
     """Passages that hold each term; a last row counts passages."""
     for b in batches:
-        for _, _, t in texts_of(b.column(0), kinds=_KINDS, lower=True):
+        for t in parts_of(b.column(0)):
             if len(t.starts):
                 p = passages(t, PASSAGE)
                 pairs = np.sort(p * SLOTS + terms(t))
@@ -110,7 +121,7 @@ def sketch(idf: np.ndarray, omega: np.ndarray):
     def fill(batches: Iterator[pa.RecordBatch], matrix: np.ndarray) -> None:
         sums = np.zeros((matrix.shape[1], SLOTS))
         for b in batches:
-            for _, _, t in texts_of(b.column(0), kinds=_KINDS, lower=True):
+            for t in parts_of(b.column(0)):
                 term = terms(t)
                 if not len(term):
                     continue
@@ -159,6 +170,8 @@ class Queries:
     seeds: np.ndarray
     seed_item: np.ndarray
     seed_at: np.ndarray
+    #: By number of words, items of fewer than LEAST words: their hashes, sorted, and the items.
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
 
 def rare_runs(run: np.ndarray, item: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -179,12 +192,16 @@ def rare_runs(run: np.ndarray, item: np.ndarray, at: np.ndarray) -> tuple[np.nda
 def queries(items: list[tuple[int, str]], tables: tuple[np.ndarray, np.ndarray]) -> Queries:
     rare = tables[0].any(1)
     texts = pa.array([text for _, text in items], pa.string())
-    words, sets, rows, runs = [], [], [], []
+    words, sets, rows, runs, short = [], [], [], [], {}
     for lo, _, t in texts_of(texts, kinds=_KINDS, lower=True):
         term = terms(t)
         first = t.first
         at, run = t.windows(LEAST)
         runs.append((run, lo + t.doc[at], at - first[t.doc[at]]))
+        for n in range(1, LEAST):
+            at, run = t.windows(n)
+            whole = np.diff(first)[t.doc[at]] == n
+            short.setdefault(n, []).append((run[whole], lo + t.doc[at][whole]))
         for i in range(t.n):
             n = int(first[i + 1] - first[i])
             words.append([t.word(k) for k in range(first[i], first[i + 1])])
@@ -199,26 +216,43 @@ def queries(items: list[tuple[int, str]], tables: tuple[np.ndarray, np.ndarray])
                         rows.append((v / size, lo + i, at, width, whole))
     cols = list(zip(*rows)) or [[], [], [], [], []]
     seeds = rare_runs(*(np.concatenate(x) for x in zip(*runs))) if runs else (np.zeros(0, np.uint64), *np.zeros((2, 0), np.int64))
-    return Queries(np.array([k for k, _ in items]), words, sets, np.array(cols[0], np.float32).reshape(len(rows), RANK - SHARED), *(np.array(c, np.int64) for c in cols[1:]), *seeds)
+    few = {}
+    for n, some in short.items():
+        run, item = (np.concatenate(x) for x in zip(*some))
+        if len(run):
+            few[n] = run[np.argsort(run, kind="stable")], item[np.argsort(run, kind="stable")]
+    return Queries(np.array([k for k, _ in items]), words, sets, np.array(cols[0], np.float32).reshape(len(rows), RANK - SHARED), *(np.array(c, np.int64) for c in cols[1:]), *seeds, few)
+
+
+def looked_up(keys: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (place in run, place in keys, which are sorted) of equal hashes."""
+    known = np.zeros(1 << 20, bool)
+    known[keys >> np.uint64(44)] = True
+    some = np.flatnonzero(known[run >> np.uint64(44)])
+    low, high = (np.searchsorted(keys, run[some], side) for side in ("left", "right"))
+    many = high - low
+    return np.repeat(some, many), np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
 
 
 def seeded(t: Texts, q: Queries) -> set[tuple[int, int, int]]:
-    """(text, item, word where the item would begin) of the runs of LEAST words that a text shares with an item.
+    """(text, item, word where the item would begin) of the runs of LEAST words that a text shares with an
+    item, and of the first place of each shorter item.
 
     Every exact copy has them, whatever its words weigh and wherever it stands.
     """
-    at, run = t.windows(LEAST)
-    if not len(at) or not len(q.seeds):
-        return set()
-    known = np.zeros(1 << 20, bool)
-    known[q.seeds >> np.uint64(44)] = True
-    some = np.flatnonzero(known[run >> np.uint64(44)])
-    low, high = (np.searchsorted(q.seeds, run[some], side) for side in ("left", "right"))
-    many = high - low
-    row = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
-    at = np.repeat(at[some], many)
-    doc = t.doc[at]
-    return set(zip(doc.tolist(), q.seed_item[row].tolist(), (at - t.first[doc] - q.seed_at[row]).tolist()))
+    out: set[tuple[int, int, int]] = set()
+    if len(q.seeds):
+        at, run = t.windows(LEAST)
+        some, row = looked_up(q.seeds, run)
+        doc = t.doc[at[some]]
+        out |= set(zip(doc.tolist(), q.seed_item[row].tolist(), (at[some] - t.first[doc] - q.seed_at[row]).tolist()))
+    for n, (keys, items) in q.short.items():
+        at, run = t.windows(n)
+        some, row = looked_up(keys, run)
+        doc, item = t.doc[at[some]], items[row]
+        _, first = np.unique(doc * (len(q.ids) + 1) + item, return_index=True)
+        out |= set(zip(doc[first].tolist(), item[first].tolist(), (at[some][first] - t.first[doc[first]]).tolist()))
+    return out
 
 
 def candidates(t: Texts, vectors: np.ndarray, q: Queries, whole: int) -> set[tuple[int, int, int]]:
@@ -240,8 +274,9 @@ def candidates(t: Texts, vectors: np.ndarray, q: Queries, whole: int) -> set[tup
             size *= 2
         own = np.flatnonzero((q.width == width) & (q.whole == whole))
         at = inside[place[inside] % max(1, size // 4) == 0]
-        for lo in range(0, len(at) if len(own) else 0, 8192):
-            some = at[lo : lo + 8192]
+        many = max(64, COMPARED // max(len(own), 1))
+        for lo in range(0, len(at) if len(own) else 0, many):
+            some = at[lo : lo + many]
             window = sums[some]
             norm = np.sqrt(np.einsum("ij,ij->i", window, window))
             near = q.vectors[own] @ window.T
@@ -283,12 +318,14 @@ def marked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     windows of every text are compared with windows of every item in blocks, and what
     is near is checked by the longest common subsequence of words: SURE of the item's
     words, or LIKELY of them with the answer. So is what shares a run of LEAST words with
-    an item, hence every exact copy, also of frequent words. Of several places the best is told.
+    an item, hence every exact copy, also of frequent words. Items with fewer words match
+    where they stand as they are. Of several places the best is told, of equals the first.
 
     Null and wordless texts and items match nothing; null ids stay null; equal rows give
     equal rows; empty tables give empty ones; other columns of docs don't matter. carry:
     add the row of docs as a struct, row. Texts aren't shuffled. What the tasks and the
-    driver hold has a fixed size, but for ITEMS items at a time.
+    driver hold has a fixed size, but for ITEMS items and ITEM_BYTES of them at a time, and
+    the longest text: it is searched in parts of PIECE words that overlap by the longest item.
     """
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("item_id is not null and text is not null")
@@ -299,7 +336,8 @@ def marked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     rest = [F.struct(*(F.col(c) for c in docs.columns if c != text_col)).alias("rest")] if carry else []
     found = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"), F.lit(None).cast(LEAKS).alias("leaks"), *rest)
     schema = found.schema
-    blocks = max(1, -(-items.count() // ITEMS))
+    size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, -(-size["n"] // ITEMS), -(-size["bytes"] // ITEM_BYTES))
     for block in range(blocks):
         some = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else items
         q = queries(sorted((x["item_id"], x["text"]) for x in some.collect()), tables)
@@ -325,28 +363,37 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFra
 def _search(q: Queries, tables: tuple[np.ndarray, np.ndarray], with_text: bool):
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("first_word", pa.int64()), ("share", pa.float64()), ("answer_share", pa.float64())]))
 
+    longest = max(map(len, q.words), default=0)
+    overlap = PASSAGE + 2 * longest + 64
+
+    def search(t: Texts, begin: int, best: dict[tuple[int, int], tuple[float, float, int]]) -> None:
+        first, term, done = t.first, terms(t), set()
+        for doc, item, at in sorted(candidates(t, tables[0], q, 0) | candidates(t, tables[1], q, 1) | seeded(t, q)):
+            words = q.words[item]
+            slack = max(8, len(words) // 4)
+            if (doc, item, at // slack) in done:
+                continue
+            done.add((doc, item, at // slack))
+            n = int(first[doc + 1] - first[doc])
+            a, e = max(0, at - slack), min(n, at + len(words) + 2 * slack)
+            kind = int(len(words) >= LONG)
+            # each different term that isn't there costs a word of the common order
+            if len(q.terms[item].difference(term[first[doc] + a : first[doc] + e].tolist())) > (1 - LIKELY[kind]) * len(words):
+                continue
+            share, answer = verdict(words, [t.word(k) for k in range(first[doc] + a, first[doc] + e)])
+            if share >= (SURE[kind] if len(words) >= LEAST else 1) or share >= LIKELY[kind] and answer >= ANSWER[kind] and len(words) >= LEAST:
+                found = (share, answer, -begin - max(0, at))
+                best[doc, item] = max(best.get((doc, item), found), found)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held = b.column(2).to_pylist()
             for lo, _, t in texts_of(b.column(0), kinds=_KINDS, lower=True):
-                first, term, done = t.first, terms(t), set()
                 best: dict[tuple[int, int], tuple[float, float, int]] = {}
-                for doc, item, at in sorted(candidates(t, tables[0], q, 0) | candidates(t, tables[1], q, 1) | seeded(t, q)):
-                    words = q.words[item]
-                    slack = max(8, len(words) // 4)
-                    if (doc, item, at // slack) in done:
-                        continue
-                    done.add((doc, item, at // slack))
-                    n = int(first[doc + 1] - first[doc])
-                    a, e = max(0, at - slack), min(n, at + len(words) + 2 * slack)
-                    # each different term that isn't there costs a word of the common order
-                    if len(q.terms[item].difference(term[first[doc] + a : first[doc] + e].tolist())) > (1 - LIKELY) * len(words):
-                        continue
-                    share, answer = verdict(words, [t.word(k) for k in range(first[doc] + a, first[doc] + e)])
-                    if share >= SURE or share >= LIKELY and answer >= ANSWER:
-                        best[doc, item] = max(best.get((doc, item), (0.0, 0.0, 0)), (share, answer, -a))
-                for (doc, item), (share, answer, a) in best.items():
-                    held[lo + doc] = [*(held[lo + doc] or []), {"item_id": int(q.ids[item]), "first_word": -a, "share": share, "answer_share": answer}]
+                for begin, part in t.pieces(overlap=overlap):
+                    search(part, begin, best)
+                for (doc, item), (share, answer, at) in best.items():
+                    held[lo + doc] = [*(held[lo + doc] or []), {"item_id": int(q.ids[item]), "first_word": -at, "share": share, "answer_share": answer}]
             columns = [b.column(0), b.column(1), pa.array(held, kind), *b.columns[3:]][not with_text :]
             yield pa.RecordBatch.from_arrays(columns, b.schema.names[not with_text :])
 

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -170,7 +171,7 @@ def plain_ids(some):
 def test_tokenizer_by_pieces():
     some = ["İstanbul Ünï a\x1cb c\xa0d x's <|endoftext|>foo 12.5 ... don't", "Xİ! don’t “q” ½ é, a\x1c!b it's x’s", "<|ENDOFTEXT|> A<|endoftext|>B", "", "  ", "a,b. c..",
             "ΑΣ ΟΔΟΣ, ǅ", "日本語 テキスト。 한국어", "ﬁ ſ Ω", "ab-cd_ef #$% 007", "á b"]
-    t = packing.WordTokenizer(tokenizer_path(), cached=20)
+    t = packing.WordTokenizer(Path(tokenizer_path()).read_text(), cached=20)
     for _ in range(2):
         found = [t.encode(x.encode()) for x in some]
         assert [np.frombuffer(x, "<u4").tolist() for x in found] == [x[:-1] for x in plain_ids(some)]
@@ -181,7 +182,7 @@ def test_tokenizer_on_marks_after_capitals():
     rnd = random.Random(1)
     letters = [*"aAyYTtJjHhIi ieE1=<\n'.,", *"\u030a\u0308\u030c\u0331\u0307\u0301\u0338\u0130ßéÉ日Σ\xa0\u200d\u212a\u212bǅ", "<|endoftext|>"]
     some = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 14))) for _ in range(4000)] + ["Y\u030a", "T\u0308", "J\u030c", "H\u0331"]
-    t = packing.WordTokenizer(tokenizer_path())
+    t = packing.WordTokenizer(Path(tokenizer_path()).read_text())
     for text, want in zip(some, plain_ids(some)):
         assert np.frombuffer(t.encode(text.encode()), "<u4").tolist() == np.frombuffer(t.encode(text.encode(), 5), "<u4").tolist() == want[:-1], ascii(text)
 
@@ -224,6 +225,40 @@ def test_packing_query(spark):
         assert len(own) == r["length"] and zlib.crc32(own.tobytes()) == r["ids_crc32"]
 
 
+def test_long_texts_in_blocks(monkeypatch):
+    """Hashes, counts, fingerprints and pooled vectors don't depend on the size of the blocks they are worked out in."""
+    import pyarrow as pa
+
+    from lapidar.llm import quality_rules, textkernel
+
+    rnd = random.Random(4)
+    some = [" ".join(rnd.choice(["aé", "b", "cc", "日本", "\n", "#x"]) for _ in range(rnd.randint(0, 900))) for _ in range(9)]
+    vectors = np.random.default_rng(0).standard_normal((classifier.SIZE, classifier.SLOTS)).astype(np.float32)
+
+    def run():
+        out = []
+        for _, _, t in textkernel.texts_of(pa.array(some), 1 << 20):
+            out += [*quality_rules.measure(t, (3, 5)).values(), simhash.fingerprints(t), *textkernel.Texts(t.data, t.offsets).windows(4)]
+            out.append(np.round(classifier.pooled(t, vectors), 3))
+        return out
+
+    whole = run()
+    monkeypatch.setattr(simhash, "HASHED", 50)
+    monkeypatch.setattr(classifier, "PIECE", 64)
+    for a, b in zip(run(), whole):
+        assert np.allclose(a, b, atol=2e-3) if a.dtype == np.float32 else np.array_equal(a, b)
+    data = np.random.default_rng(1).integers(0, 256, 5000).astype(np.uint8)
+    at = np.sort(np.random.default_rng(2).integers(0, 5001, 400))
+    a, z = at[:-1], at[1:]
+    want = [sum((int(textkernel.LETTERS[x]) * pow(11, i, 1 << 64) for i, x in enumerate(data[s:e].tolist())), 0) % (1 << 64) for s, e in zip(a, z)]
+    monkeypatch.setattr(textkernel, "CHUNK", 128)
+    monkeypatch.setattr(textkernel, "_powers", {})
+    got = textkernel.spans_hash(data, a, z, 11, textkernel.LETTERS)
+    assert got.tolist() == textkernel.mix(np.array(want, np.uint64) + (z - a).astype(np.uint64) * textkernel._BASE).tolist()
+    assert textkernel.counts_before(data, np.arange(256) > 99, at).tolist() == [int((data[:k] > 99).sum()) for k in at]
+    monkeypatch.setattr(textkernel, "_powers", {})
+
+
 def test_matrix_sum(spark):
     def fill(batches, matrix):
         for b in batches:
@@ -267,6 +302,112 @@ def test_common_order():
         assert decontamination.common_order(a, b) == plain(a, b)
 
 
+def latent(texts):
+    """Tables of decontamination for texts, as marked() builds them from its two scans."""
+    import pyarrow as pa
+
+    batch = [pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])]
+    counts, z = np.zeros((decontamination.SLOTS + 1, 1)), np.zeros((decontamination.SLOTS, decontamination.RANK), np.float32)
+    decontamination.frequencies(iter(batch), counts)
+    idf = decontamination.weights(counts)
+    omega = np.random.default_rng(decontamination.SEED).standard_normal(z.shape).astype(np.float32)
+    decontamination.sketch(idf, omega)(iter(batch), z)
+    return decontamination.term_vectors(z, omega, idf, decontamination.common_weights(counts))
+
+
+def held(texts, items, tables):
+    """By text, {item: share} of what the search finds in it."""
+    import pyarrow as pa
+
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("first_word", pa.int64()), ("share", pa.float64()), ("answer_share", pa.float64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(range(len(texts)), pa.int64()), pa.nulls(len(texts), kind)], ["text", "doc_id", "leaks"])
+    out = next(decontamination._search(decontamination.queries(items, tables), tables, True)(iter([batch])))
+    return [{x["item_id"]: x["share"] for x in found or []} for found in out.column(2).to_pylist()]
+
+
+@pytest.mark.parametrize("size", [1, 3, 30, 1000])
+def test_no_exact_copy_is_missed(size):
+    """Items of 1 to 60 words, of rare and of frequent words, in 1 to 90 % of a corpus."""
+    rnd = random.Random(size)
+    common = ["the", "of", "and", "to", "in", "is", "that", "for", "it", "as"]
+    rare = lambda: "".join(rnd.choice("bcdfghjklm") for _ in range(7))
+    word = lambda: rnd.choice(common) if rnd.random() < 0.5 else rare()
+    lengths = [*range(1, 13), 15, 20, 31, 32, 33, 45, 60]
+    items = [(k, " ".join([rare(), *(word() for _ in range(n - 1))])) for k, n in enumerate(lengths)]
+    for share in (0.01, 0.3, 0.9):
+        texts, want = [], []
+        for i in range(size):
+            own = [word() for _ in range(rnd.randint(0, 80))]
+            some = rnd.sample(items, 2) if i < max(1, share * size) else []
+            for _, t in some:
+                at = rnd.randint(0, len(own))
+                own[at:at] = [t.upper() if i % 2 else t]  # an item is one entry, so the next one doesn't cut it
+            texts.append(" ".join(own))
+            want.append({k for k, _ in some})
+        for found, some in zip(held(texts, items, latent(texts)), want):
+            assert found.keys() == some and all(found[k] == 1 for k in some)
+
+
+def test_paraphrases():
+    """Words replaced at random by words of other documents, at every place of a host; other items aren't named."""
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.01"
+    texts = [t or "" for t in pq.read_table(f"{sf}/documents.parquet")["text"].to_pylist()]
+    items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{sf}/benchmark.parquet").to_pylist()]
+    tables, rnd = latent(texts), random.Random(5)
+    free = [t for t, found in zip(texts, held(texts, items, tables)) if not found]
+    vocabulary = [w for t in free[:300] for w in t.split()]
+    for every, least in ((10, 0.98), (7, 0.97), (5, 0.95)):
+        made, want = [], []
+        for k, t in items * 4:
+            host = rnd.choice(free).split()
+            at = rnd.randint(0, len(host))
+            host[at:at] = [rnd.choice(vocabulary) if rnd.random() < 1 / every else w for w in t.split()]
+            made.append(" ".join(host))
+            want.append(k)
+        found = held(made, items, tables)
+        assert sum(k in f for k, f in zip(want, found)) >= least * len(want), every
+        assert all(f.keys() <= {k} for k, f in zip(want, found))
+
+
+def test_latent_search_alone_leads_to_paraphrases(monkeypatch):
+    """Without the lookup of shared runs, the cosine search must find most paraphrases by itself."""
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.01"
+    texts = [t or "" for t in pq.read_table(f"{sf}/documents.parquet")["text"].to_pylist()]
+    items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{sf}/benchmark.parquet").to_pylist()]
+    tables, rnd = latent(texts), random.Random(8)
+    vocabulary = [w for t in texts[:300] for w in t.split()]
+    monkeypatch.setattr(decontamination, "seeded", lambda t, q: set())
+    made = []
+    for _, t in items * 4:
+        host = rnd.choice(texts).split()
+        at = rnd.randint(0, len(host))
+        host[at:at] = [rnd.choice(vocabulary) if rnd.random() < 1 / 7 else w for w in t.split()]
+        made.append(" ".join(host))
+    assert np.mean([k in f for (k, _), f in zip(items * 4, held(made, items, tables))]) >= 0.9
+
+
+def test_long_texts_are_searched_in_parts(monkeypatch):
+    """The same leaks, at the same words, as in one piece; items at the cuts too."""
+    from lapidar.llm.textkernel import Texts
+
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("bcdfgh") for _ in range(4))
+    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate((3, 8, 30, 60))]
+    own = [word() for _ in range(6000)]
+    for at in range(0, 6000, 200):
+        own[at] += " " + rnd.choice(items)[1]
+    text = " ".join(own)
+    tables = latent([text])
+    whole = held([text, "x"], items, tables)
+    pieces = Texts.pieces
+    monkeypatch.setattr(Texts, "pieces", lambda t, words=512, overlap=0: pieces(t, words, overlap))
+    assert held([text], items, tables) == whole[:1] and len(whole[0]) == 4 and np.array_equal(latent([text])[0], tables[0])
+
+
 def test_leaks(spark, odd, empty):
     """Every benchmark text that stands in a document is found, and paraphrases are; clean documents aren't named."""
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
@@ -285,7 +426,7 @@ def test_leaks(spark, odd, empty):
     squeezed = {k: " ".join(re.findall(r"\w+", t.lower())) for k, t in text.items()}
     exact = {(d, i) for i, t in items.items() for d, x in squeezed.items() if " ".join(re.findall(r"\w+", t.lower())) in x}
     assert exact <= found
-    assert sum((100_000 + i, i) in found for i in items) >= 0.85 * len(items)
+    assert sum((100_000 + i, i) in found for i in items) >= 0.95 * len(items)
     assert {f for f in found if f[0] < 100_000} - exact == set()
     assert decontamination.find_leaks(empty, bench).count() == 0
     assert decontamination.find_leaks(docs.limit(20), bench.limit(0)).count() == 0
