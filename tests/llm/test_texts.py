@@ -91,6 +91,64 @@ def test_pii_checksums_and_context():
     assert kinds("my ssn 123-45-6789") == ["national_id"] and kinds("code 123-45-6789") == []
 
 
+def brute_added(text):
+    """Account numbers, national ids and local phone numbers by a plain reading of the rules, with their scores."""
+    out = []
+    for a in range(len(text)):
+        if a and text[a - 1] in "-0123456789":
+            continue
+        if m := re.match(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", text[a:]):
+            if m[0][:3] not in ("000", "666") and m[0][0] != "9" and m[0][4:6] != "00" and m[0][7:] != "0000":
+                out.append((a, 5, a + m.end()))
+    for m in re.finditer(r"(?<![0-9+().-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])", text):
+        out.append((m.start(), 6, m.end()))
+    scored = []
+    for a, k, e in out:
+        hit = lambda words: any(max(0, a - 40) <= m.start() and m.end() <= a or e <= m.start() and m.end() <= e + 40
+                                for w in words for m in re.finditer(rf"(?<![^\W_]){w}", text, re.I))
+        score = 0.4 + 0.3 * hit(pii._CONTEXT[pii.KINDS[k]]) - 0.3 * hit(pii._AGAINST[pii.KINDS[k]])
+        if score > 0.59 and not any(b < e and a < f for b, _, f in brute_pii(text)):
+            scored.append((a, k, e))
+    return sorted(scored)
+
+
+def test_pii_added_spans_by_brute_force():
+    import random
+
+    rnd = random.Random(11)
+    some = ["ssn", "tax id", "call", "fax", "part", "order", "model", "and", "é", ",", "\n", "123-45-6789", "000-12-3456", "912-34-5678", "123-00-6789", "212-555-1234", "(212) 555.1234", "212 555 1234", "1212-555-1234",
+            "+1 212-555-1234", "a@b.co", "10.0.0.1", "x" * 30]
+    seen = set()
+    for _ in range(3000):
+        text = rnd.choice([" ", "  ", ""]).join(rnd.choice(some) for _ in range(rnd.randint(1, 7)))
+        want = brute_added(text)
+        assert [s[:3] for s in pii.spans_of(text) if s[1] > 4] == want, text
+        seen |= {k for _, k, _ in want}
+    assert seen == {5, 6}
+
+
+def test_pii_context_may_speak_against():
+    kinds = lambda t: [pii.KINDS[s[1]] for s in pii.spans_of(t)]
+    assert kinds("call us, order 212-555-1234") == [] and kinds("ssn 123-45-6789") == ["national_id"] and kinds("ssn or part 123-45-6789") == []
+    score = lambda t: pii.spans_of(t)[0][3]
+    assert score("server 10.1.2.3") > score("see 10.1.2.3") > score("version 10.1.2.3")
+
+
+def test_pii_ibans_of_all_countries():
+    """A number with right check digits is found by itself, in groups of four, and before words in capitals."""
+    import random
+
+    rnd = random.Random(2)
+    for country, size in pii._LENGTHS.items():
+        body = "".join(rnd.choice("0123456789") for _ in range(size - 4))
+        check = 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+        number = f"{country}{check:02}{body}"
+        spaced = " ".join(number[i : i + 4] for i in range(0, size, 4))
+        for own in (number, spaced):
+            for text in (own, f"IBAN {own} BIC ABCDEF", f"{own} EUR 100"):
+                assert [text[a:b] for a, b in pii.ibans(text)] == [own], text
+
+
 def test_pii_ibans_among_other_words():
     one, two = "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"
     for text, want in ((f"{one} BIC COBADEFF", [one]), (f"{one} EUR 500", [one]), (f"XY12 {one} OK", [one]), (f"{one} {two} NOK 20", [one, two]), ("DE88 3704 0044 0532 0130 00 BIC", [])):
