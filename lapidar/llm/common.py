@@ -37,6 +37,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a table that written() gave and nobody will read again."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent() if df.inputFiles() else None
+    if path is not None:
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body of a value that is worked out once."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -84,7 +92,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct(), "edges")
     state = None
     for _ in range(max_rounds):
-        now = written(star(star(now, True), False), "edges")
+        last, now = now, written(star(star(now, True), False), "edges")
+        discard(last)
         found = now.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
         if tuple(found) == state:
             break

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 ROWS = 512
 """Rows of a matrix that travel together."""
-MERGED = 64
-"""Tasks whose sums are added in a first step."""
+MERGED, STEPS = 256, 2
+"""Sums that one key adds in a step; steps before the last, enough for MERGED**STEPS tasks and as many times more as the last adds."""
 _SCHEMA = "part long, chunk int, block binary"
 
 
@@ -44,8 +44,9 @@ def matrix_sum(rows: DataFrame, fill: Callable[[Iterator[pa.RecordBatch], np.nda
     """Sum over all tasks of the matrix that fill(batches, matrix) fills from a task's rows.
 
     The matrix has the same size whatever the input; so has what reaches the driver.
-    Sums are added in two steps, so no task reads more than MERGED blocks of a chunk
-    first, and a MERGEDth of them then, one at a time.
+    Sums are added as a tree: MERGED blocks of a chunk in each step, one at a time, dealt out
+    by chunk and group over the session's shuffle partitions; after STEPS of them a
+    million tasks have left 16 blocks of a chunk for the last.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = np.zeros(shape, dtype)
@@ -53,9 +54,9 @@ def matrix_sum(rows: DataFrame, fill: Callable[[Iterator[pa.RecordBatch], np.nda
         yield from _emit(matrix, TaskContext.get().partitionId())
 
     parts = rows.mapInArrow(run, _SCHEMA)
-    n = -(-shape[0] // ROWS)
-    some = parts.repartition(n, "chunk", F.floor(F.col("part") / MERGED)).mapInArrow(_added(dtype), _SCHEMA)
-    whole = some.repartition(n, "chunk").withColumn("part", F.lit(0).cast("long")).mapInArrow(_added(dtype), _SCHEMA)
+    for _ in range(STEPS):
+        parts = parts.repartition("chunk", F.floor(F.col("part") / MERGED)).mapInArrow(_added(dtype), _SCHEMA)
+    whole = parts.withColumn("part", F.lit(0).cast("long")).repartition("chunk").mapInArrow(_added(dtype), _SCHEMA)
     out = np.zeros(shape, dtype)
     for x in whole.collect():
         block = np.frombuffer(x["block"], dtype).reshape(-1, shape[1])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -56,10 +57,11 @@ class WordTokenizer:
     cut at white space only.
     """
 
-    def __init__(self, path: str, cached: int = CACHED):
+    def __init__(self, model: str, cached: int = CACHED):
+        """model: what the tokenizer's file holds."""
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(model)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         # for ASCII letters in lower case the steps before the model change nothing, where this holds
         direct, sample = self.tokenizer.model.tokenize, ("a", "the", "tokenizer", "qzxv")
@@ -100,11 +102,12 @@ class WordTokenizer:
 _kept: dict[str, WordTokenizer] = {}
 
 
-def word_tokenizer(path: str) -> WordTokenizer:
+def word_tokenizer(model: str) -> WordTokenizer:
     """One for each worker process."""
-    if path not in _kept:
-        _kept[path] = WordTokenizer(path)
-    return _kept[path]
+    if model not in _kept:
+        _kept.clear()
+        _kept[model] = WordTokenizer(model)
+    return _kept[model]
 
 
 class Packer:
@@ -180,8 +183,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     shared folder once, so a lost executor doesn't deal it anew. Only leftovers are
     shuffled.
     """
+    model = Path(tokenizer_path).read_text(encoding="utf-8")  # of a fixed size; executors needn't have the file
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, tokens, end = TaskContext.get().partitionId(), word_tokenizer(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        part, tokens, end = TaskContext.get().partitionId(), word_tokenizer(model), np.array([end_id], "<u4").tobytes()
         packer, count = Packer(window, open_windows), part << 36
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).cast(pa.binary())

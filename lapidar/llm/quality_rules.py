@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lapidar.llm.textkernel import BYTE_BASE, LETTERS, Texts, covered, mix, repeated, spans_hash, texts_of
+from lapidar.llm.textkernel import BYTE_BASE, LETTERS, Texts, counts_before, covered, mix, repeated, spans_hash, texts_of
 
 LIMITS = {3: 0.50, 5: 0.40, 7: 0.35, 10: 0.30}
 """By n: the largest share of a text's word characters that duplicated n-grams may cover."""
@@ -28,14 +28,12 @@ COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 def measure(t: Texts, widths: tuple[int, ...]) -> dict[str, np.ndarray]:
     """Counts for each text of a slice."""
     n_words = len(t.starts)
-    chars = t.points[t.ends] - t.points[t.starts]
+    chars = t.points_before(t.ends) - t.points_before(t.starts)
     out = {"n_words": t.per_text(t.doc), "word_chars": t.per_text(t.doc, chars)}
-    symbols = np.zeros(len(t.data) + 1, np.int64)
-    np.cumsum(_SYMBOL[t.data], out=symbols[1:])
-    out["n_symbols"] = symbols[t.offsets[1:]] - symbols[t.offsets[:-1]]
+    out["n_symbols"] = np.diff(counts_before(t.data, _SYMBOL, t.offsets))
     starts, ends, doc = t.lines()
     salt = mix(np.arange(1, t.n + 1, dtype=np.uint64))
-    _, again = repeated(spans_hash(LETTERS[t.data], starts, ends, BYTE_BASE) ^ salt[doc])
+    _, again = repeated(spans_hash(t.data, starts, ends, BYTE_BASE, LETTERS) ^ salt[doc])
     out["n_dup_lines"] = t.per_text(doc[again])
     in_words = np.zeros(n_words + 1, np.int64)
     np.cumsum(chars, out=in_words[1:])
@@ -59,8 +57,9 @@ def repetition_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     in the text; dup_line_chars: of words in lines equal to an earlier line. kept:
     base_failed is false and no share exceeds its limit. Null text counts as empty,
     and an empty text fails. A null id stays null; equal rows give equal rows; an
-    empty table gives an empty one; other columns of docs don't matter. No shuffle:
-    one pass, memory bounded by a slice of texts. carry: add the row of docs as a struct, row.
+    empty table gives an empty one; other columns of docs don't matter. A share equal to
+    its limit is kept. No shuffle: one pass; texts are held in slices of a megabyte, a
+    longer one by itself, at about 20 bytes for each of its own. carry: add the row of docs as a struct, row.
     """
     limits = LIMITS if limits is None else limits
     widths = tuple(sorted({3, *limits}))

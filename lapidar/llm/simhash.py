@@ -23,36 +23,38 @@ SPLIT = 32768
 FAN = 8
 """Children of an index node."""
 BITS = 64
+HASHED = 1 << 16
+"""Shingles whose hashes are held at once."""
 
 
 def fingerprints(t: Texts, shingle: int = SHINGLE) -> np.ndarray:
     """SimHash of each text of a slice, unsigned."""
     import xxhash
 
-    out = np.zeros(t.n, np.uint64)
-    n = len(t.starts)
-    if not n:
-        return out
-    keep = t.solid.copy()  # words and one separator after each
-    after = t.ends[t.ends < len(t.data)]
-    keep[after] = True
-    place = np.zeros(len(t.data) + 1, np.int64)
-    np.cumsum(keep, out=place[1:])
-    text = np.where(t.solid, LOWER[t.data], np.uint8(32))[keep].tobytes()
-    starts, ends = place[t.starts], place[t.ends]
+    n, digest = len(t.starts), xxhash.xxh64_intdigest
     first_of = np.searchsorted(t.doc, np.arange(t.n + 1))
-    many = np.diff(first_of)
-    last = np.minimum(np.arange(n) + shingle, first_of[t.doc + 1]) - 1
-    begins = np.flatnonzero((np.arange(n) + shingle <= first_of[t.doc + 1]) | ((np.arange(n) == first_of[t.doc]) & (many[t.doc] < shingle)))
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(text[a:b], SEED) for a, b in zip(starts[begins].tolist(), ends[last[begins]].tolist())), np.uint64, len(begins))
-    doc = t.doc[begins]
-    cut = np.flatnonzero(np.diff(doc, prepend=-1))
-    size = np.diff(np.append(cut, len(doc)))
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    votes = np.array([bits[a:b].sum(0, dtype=np.int32) for a, b in zip(cut, cut + size)])
-    out[doc[cut]] = np.packbits(2 * votes > size[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
-    return out
+    many, to = np.diff(first_of), first_of[t.doc + 1]
+    place = np.arange(n)
+    begins = np.flatnonzero((place + shingle <= to) | ((place == first_of[t.doc]) & (many[t.doc] < shingle)))
+    last = np.minimum(begins + shingle, to[begins]) - 1
+    votes, size = np.zeros((t.n, BITS), np.int64), np.bincount(t.doc[begins], minlength=t.n)
+    for at in range(0, len(begins), HASHED):
+        begin, end = begins[at : at + HASHED], last[at : at + HASHED]
+        a, z = t.starts[begin[0]], t.ends[end[-1]]
+        solid = t.solid[a:z]
+        keep = solid.copy()  # words and one separator after each
+        after = t.ends[begin[0] : end[-1]] - a
+        keep[after[after < z - a]] = True
+        to = np.zeros(z - a + 1, np.int64)
+        np.cumsum(keep, out=to[1:])
+        text = np.where(solid, LOWER[t.data[a:z]], np.uint8(32))[keep].tobytes()
+        hashes = np.fromiter((digest(text[i:j], SEED) for i, j in zip(to[t.starts[begin] - a].tolist(), to[t.ends[end] - a].tolist())), np.uint64, len(begin))
+        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        doc = t.doc[begin]
+        cut = np.flatnonzero(np.diff(doc, prepend=-1))
+        for d, i, j in zip(doc[cut].tolist(), cut.tolist(), [*cut[1:].tolist(), len(doc)]):
+            votes[d] += bits[i:j].sum(0, dtype=np.int32)
+    return np.packbits(2 * votes > size[:, None], axis=1, bitorder="little").view("<u8")[:, 0].astype(np.uint64)
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -224,8 +226,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows of one fingerprint are one class before any search, so copies are never paired.
     Null and wordless texts have fingerprint zero and are linked like any other. A row
     without id is in its class but lends it no id (a class of such rows alone has a null
-    component and links to nothing). Repeated rows give repeated rows, an empty table an
-    empty one; other columns are ignored.
+    component and links to nothing). A bit that half the shingles set, no more, is zero.
+    Repeated rows give repeated rows, an empty table an empty one; other columns are
+    ignored. A text of n bytes, however long, takes about 13 n.
     """
     marked = written(simhash(docs, id_col, text_col, shingle), "fingerprints")
     classes = written(marked.groupBy("bits").agg(F.min("doc_id").alias("node")), "classes")

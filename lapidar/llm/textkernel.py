@@ -15,6 +15,9 @@ import pyarrow as pa
 CHUNK = 1 << 20
 """Bytes of text handled at once; a longer text is handled alone."""
 
+PIECE = 1 << 18
+"""Words of a long text that pieces() gives at once."""
+_MASK = (1 << 64) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD = np.ones(256, np.uint8)
 _WORD[[0x20, *range(0x09, 0x0E)]] = 0
@@ -35,22 +38,60 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**i modulo 2**64 for i below n."""
-    if base not in _powers or len(_powers[base]) < n:
-        row = np.full(max(n, CHUNK + 1), base, np.uint64)
+    """base**i modulo 2**64 for i below n, at most CHUNK + 1."""
+    if base not in _powers:
+        row = np.full(CHUNK + 1, base, np.uint64)
         row[0] = 1
         _powers[base] = np.cumprod(row, dtype=np.uint64)
     return _powers[base][:n]
 
 
-def spans_hash(letters: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Hash of letters[start:end] for each span, independent of where it stands."""
-    total = np.zeros(len(letters) + 1, np.uint64)
-    np.cumsum(letters * powers(base, len(letters)), out=total[1:])
-    back = powers(pow(base, -1, 1 << 64), len(letters) + 1)
-    return mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _BASE)
+def sums_before(letters: np.ndarray, at: np.ndarray, base: int, table: np.ndarray | None = None) -> np.ndarray:
+    """Sum of letters[i] * base**i over i below each of at (sorted); table: letters are places in it.
+
+    CHUNK letters at a time, so that a long text takes no more than its bytes and words.
+    """
+    out = np.empty(len(at), np.uint64)
+    total, scale, n = 0, 1, len(letters)
+    for lo in range(0, max(n, 1), CHUNK):
+        hi = min(n, lo + CHUNK)
+        part = letters[lo:hi] if table is None else table[letters[lo:hi]]
+        local = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(part * powers(base, hi - lo), out=local[1:])
+        i, j = np.searchsorted(at, lo), np.searchsorted(at, hi, "right" if hi == n else "left")
+        out[i:j] = np.uint64(total) + np.uint64(scale) * local[at[i:j] - lo]
+        total = (total + scale * int(local[-1])) & _MASK
+        scale = scale * pow(base, CHUNK, 1 << 64) & _MASK
+    return out
+
+
+def spans_hash(letters: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int, table: np.ndarray | None = None) -> np.ndarray:
+    """Hash of letters[start:end] for each span, independent of where it stands; starts and ends are sorted."""
+    total = sums_before(letters, ends, base, table) - sums_before(letters, starts, base, table)
+    back = pow(base, -1, 1 << 64)
+    far = np.full(len(letters) // CHUNK + 1, pow(back, CHUNK, 1 << 64), np.uint64)
+    far[0] = 1
+    total *= powers(back, CHUNK + 1)[starts % CHUNK]
+    if len(far) > 1:
+        total *= np.cumprod(far, dtype=np.uint64)[starts // CHUNK]
+    return mix(total + (ends - starts).astype(np.uint64) * _BASE)
+
+
+def counts_before(data: np.ndarray, mask: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many of the bytes before each of at (sorted) mask holds, CHUNK bytes at a time."""
+    out = np.empty(len(at), np.int64)
+    total, n = 0, len(data)
+    for lo in range(0, max(n, 1), CHUNK):
+        hi = min(n, lo + CHUNK)
+        local = np.zeros(hi - lo + 1, np.int64)
+        np.cumsum(mask[data[lo:hi]], out=local[1:])
+        i, j = np.searchsorted(at, lo), np.searchsorted(at, hi, "right" if hi == n else "left")
+        out[i:j] = total + local[at[i:j] - lo]
+        total += int(local[-1])
+    return out
 
 
+_POINT = (np.arange(256) & 0xC0) != 0x80
 BYTE_BASE, WORD_BASE, OTHER_BASE = 0xD1342543DE82EF95, 0xAF251AF3B0F025B5, 0xF1357AEA2E62A9C5
 
 
@@ -59,7 +100,7 @@ class Texts:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray | None = None):
         """kinds: by byte, 0 for separators; a word is a run of bytes of one kind."""
-        self.data, self.offsets, self.n = data, offsets, len(offsets) - 1
+        self.data, self.offsets, self.n, self.kinds = data, offsets, len(offsets) - 1, kinds
         kind = (_WORD if kinds is None else kinds)[data]
         edge = np.ones(len(data) + 1, bool)  # bytes of two kinds or of two texts meet here
         edge[1:-1] = kind[1:] != kind[:-1]
@@ -71,22 +112,17 @@ class Texts:
         self.first = np.searchsorted(self.starts, offsets)
         self.doc = np.repeat(np.arange(self.n), np.diff(self.first))
         self._codes: np.ndarray | None = None
-        self._points: np.ndarray | None = None
 
     @property
     def codes(self) -> np.ndarray:
         """64-bit code of each word."""
         if self._codes is None:
-            self._codes = spans_hash(LETTERS[self.data], self.starts, self.ends, BYTE_BASE)
+            self._codes = spans_hash(self.data, self.starts, self.ends, BYTE_BASE, LETTERS)
         return self._codes
 
-    @property
-    def points(self) -> np.ndarray:
-        """Code points before each byte."""
-        if self._points is None:
-            self._points = np.zeros(len(self.data) + 1, np.int64)
-            np.cumsum((self.data & 0xC0) != 0x80, out=self._points[1:])
-        return self._points
+    def points_before(self, at: np.ndarray) -> np.ndarray:
+        """Code points before each byte of at (sorted)."""
+        return counts_before(self.data, _POINT, at)
 
     def per_text(self, where: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
         """Count, or sum of weights, of word (or line) rows by text index."""
@@ -112,6 +148,19 @@ class Texts:
         starts, ends = starts[keep], ends[keep]
         return starts, ends, np.searchsorted(self.offsets, starts, "right") - 1
 
+    def pieces(self, words: int = PIECE, overlap: int = 0) -> Iterator[tuple[int, Texts]]:
+        """(first word, Texts) of parts with that many words, and overlap of the next part's, where this is
+        one longer text; else all of it."""
+        n = len(self.starts)
+        if self.n > 1 or n <= words + overlap:
+            yield 0, self
+            return
+        for lo in range(0, n, words):
+            part = self.data[self.starts[lo] : self.ends[min(n, lo + words + overlap) - 1]]
+            yield lo, Texts(part, np.array([0, len(part)]), self.kinds)
+            if lo + words + overlap >= n:
+                return
+
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
