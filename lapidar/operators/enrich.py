@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapidar.functions.identity import DEFAULT
-from lapidar.functions.text import STOPWORDS, is_keyword, tokens
+from lapidar.functions.text import STOPWORDS, counted, keyword_tokens, tokens
 
 TOP = 12
 # Words that tell the languages of the corpus apart.
@@ -17,25 +17,21 @@ CLEAR, SOME = 0.8, 0.2
 
 
 def term_frequencies(docs: DataFrame, id_col: str, text_col: str, stopwords: list[str] = STOPWORDS) -> DataFrame:
-    """(id, token, n) of the keywords of each text. Counted after a shuffle that combines first, for texts may be long."""
-    rows = docs.select(F.col(id_col), F.explode(tokens(F.col(text_col))).alias("token"))
-    return rows.where(is_keyword(F.col("token"), stopwords)).groupBy(id_col, "token").agg(F.count("*").alias("n"))
+    """(id, token, n) of the keywords of each text. A text is one row, so they are counted inside it: nothing is shuffled."""
+    return docs.select(F.col(id_col), F.inline(counted(keyword_tokens(F.col(text_col), stopwords))))
 
 
-def top_terms(frequencies: DataFrame, id_col: str, top: int = TOP) -> DataFrame:
-    """(id, terms): the most frequent first, equal counts by the alphabet."""
-    rank = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("n"), "token"))
-    kept = frequencies.withColumn("rank", rank).where(F.col("rank") <= top)
-    return kept.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "token"))), lambda x: x["token"]).alias("terms"))
+def top_terms(text: Column, top: int = TOP, stopwords: list[str] = STOPWORDS) -> Column:
+    """The most frequent keywords of a text, equal counts by the alphabet."""
+    ranked = F.array_sort(F.transform(counted(keyword_tokens(text, stopwords)), lambda x: F.struct((-x["n"]).alias("n"), x["token"].alias("token"))))
+    return F.transform(F.slice(ranked, 1, top), lambda x: x["token"])
 
 
 def keywords(docs: DataFrame, id_col: str, title_col: str, section_title_col: str, text_col: str, categories_col: str, top: int = TOP) -> DataFrame:
     """(id, keywords): categories, unless they are the default, then the top terms among which they aren't."""
-    whole = docs.select(id_col, F.concat_ws(" ", title_col, section_title_col, text_col).alias("whole"))
-    found = docs.select(id_col, categories_col).join(top_terms(term_frequencies(whole, id_col, "whole"), id_col, top), id_col, "left")
-    terms = F.coalesce("terms", F.array().cast("array<string>"))
     seeds = F.when(F.col(categories_col) == F.array(*map(F.lit, DEFAULT)), F.array().cast("array<string>")).otherwise(F.col(categories_col))
-    return found.select(id_col, F.concat(seeds, F.filter(terms, lambda t: ~F.array_contains(seeds, t))).alias("keywords"))
+    found = docs.select(id_col, seeds.alias("seeds"), top_terms(F.concat_ws(" ", title_col, section_title_col, text_col), top).alias("terms"))
+    return found.select(id_col, F.concat("seeds", F.filter("terms", lambda t: ~F.array_contains("seeds", t))).alias("keywords"))
 
 
 def language(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapidar.functions.text import is_keyword, tokens
+from lapidar.functions.text import counted, fold, keyword_tokens
 
 
 def manifest(fragments: DataFrame, document_col: str, section_col: str, position_cols: list[str], id_col: str) -> DataFrame:
@@ -16,10 +16,15 @@ def manifest(fragments: DataFrame, document_col: str, section_col: str, position
         F.transform(ordered, lambda x: x[id_col]).alias("fragment_ids"))
 
 
-def postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(token, id, n) of each keyword: the long form of the keyword index, which no list bounds."""
-    rows = docs.select(id_col, F.explode(tokens(F.col(text_col))).alias("token"))
-    return rows.where(is_keyword(F.col("token"))).groupBy("token", id_col).agg(F.count("*").alias("n"))
+def postings(docs: DataFrame, id_col: str, text_col: str, terms: list[str] | None = None) -> DataFrame:
+    """(token, id, n) of each keyword: the long form of the keyword index, which no list bounds.
+
+    They are counted inside the row. terms: of these alone, looked for as such, so that no
+    other word is made a row.
+    """
+    text = F.col(text_col)
+    found = keyword_tokens(text) if terms is None else F.regexp_extract_all(fold(text), F.lit(rf"(?<![a-z0-9])(?:{'|'.join(sorted(terms))})(?![a-z0-9])"), F.lit(0))
+    return docs.select(id_col, F.inline(counted(found))).select("token", id_col, "n")
 
 
 def keyword_index(found: DataFrame, id_col: str) -> DataFrame:

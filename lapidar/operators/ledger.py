@@ -36,5 +36,6 @@ def latest_state(events: DataFrame, key_col: str, state_col: str, order: list[Co
 
 
 def routed(sources: DataFrame, destinations: DataFrame, route_col: str) -> DataFrame:
-    """Sources with the destination of their route."""
-    return sources.join(destinations, route_col)
+    """Sources with the destination of their route, and status: routed, or unrouted where there is none."""
+    known = destinations.withColumn("status", F.lit("routed"))
+    return sources.join(known, route_col, "left").withColumn("status", F.coalesce("status", F.lit("unrouted")))

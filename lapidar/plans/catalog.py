@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from lapidar.functions import identity, text
 from lapidar.operators import enrich, extract, index, ledger, split, versions
+from lapidar.sources import fragments as files
+from lapidar.sources import sink
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,10 +67,18 @@ _LINES = "lines AS (SELECT doc_id, lang, source, i AS position, parts[i + 1] AS
 GROUP BY doc_id ORDER BY n_terms DESC, n_places DESC, doc_id LIMIT 20)
 SELECT doc_id, lang, source, n_terms, n_places FROM best JOIN documents USING (doc_id)""")
 def retrieve_top_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = index.postings(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
+    found = index.postings(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text", TERMS)
     return index.retrieve(found, documents(spark, sf_dir, "doc_id", "lang", "source"), "doc_id", TERMS)
 
 
+@query(SQL["retrieve_top_fragments"])
+def retrieve_from_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stored index: postings are written once in order of tokens, then only the row groups of the terms are read."""
+    path = sink.shared_path(spark, "postings")
+    sink.write_postings(index.postings(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text"), path)
+    return index.retrieve(spark.read.parquet(path), documents(spark, sf_dir, "doc_id", "lang", "source"), "doc_id", TERMS)
+
+
 @query("""SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) AS host,
 regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path, length(html) AS n_chars FROM pages""")
 def capture_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,10 +88,13 @@ def capture_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT page_id, CASE WHEN lower(regexp_extract(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '\\.([A-Za-z0-9]{1,5})$', 1)) = 'pdf' THEN url ELSE '' END AS pdf_url
-FROM pages""")
+FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN concat(regexp_extract(url, '^[^?#]*'), '.pdf') WHEN 1 THEN concat(regexp_extract(url, '^[^?#]*'), '.PDF?v=1') WHEN 2 THEN concat(url, '#x.pdf') ELSE url END AS url FROM pages)""")
 def pdf_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = extract.url_parts(F.col("url"))
-    return table(spark, sf_dir, "pages").select("page_id", F.when(parts["extension"] == "pdf", F.col("url")).otherwise("").alias("pdf_url"))
+    """Addresses of files are told by the path: every fourth page's, in either case; not by what follows it."""
+    plain, kind = F.regexp_extract("url", "^[^?#]*", 0), F.col("page_id") % 4
+    url = F.when(kind == 0, F.concat(plain, F.lit(".pdf"))).when(kind == 1, F.concat(plain, F.lit(".PDF?v=1"))).when(kind == 2, F.concat("url", F.lit("#x.pdf"))).otherwise(F.col("url"))
+    pages = table(spark, sf_dir, "pages").select("page_id", url.alias("url"))
+    return pages.select("page_id", F.when(extract.url_parts(F.col("url"))["extension"] == "pdf", F.col("url")).otherwise("").alias("pdf_url"))
 
 
 @query("""SELECT page_id, coalesce(nullif(CASE WHEN url LIKE 'http://%' THEN '' ELSE url END, ''), nullif(concat('https://archive.example/wayback/20200101000000/', url), '')) AS archive_url,
@@ -172,16 +185,21 @@ def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("position", "line")).withColumn("position", F.col("position").cast("long"))
 
 
-@query(f"""WITH {_LINES} SELECT doc_id, position FROM lines WHERE regexp_matches(split_part(line, ' ', 1), '^[0-9]{{2}}\\.[0-9]{{2}}\\.[0-9]{{2,4}}$') OR regexp_matches(line, '-[ \\t]*$')""")
+@query(f"""WITH {_LINES}, marked AS (SELECT doc_id, position, CASE position % 5 WHEN 1 THEN concat('26.05.2023 ', line) WHEN 2 THEN concat(line, 'experi- ') WHEN 3 THEN concat('26.5.2023 ', line) ELSE line END AS line FROM lines)
+SELECT doc_id, position FROM marked WHERE regexp_matches(split_part(line, ' ', 1), '^[0-9]{{2}}\\.[0-9]{{2}}\\.[0-9]{{2,4}}$') OR regexp_matches(line, '-[ \\t]*$')""")
 def parser_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that begin with a date taken for a section, or end in a broken word."""
-    rows = fragments(spark, sf_dir)
+    """Lines that begin with a date taken for a section, or end in a broken word; some are made to."""
+    kind, line = F.col("position") % 5, F.col("line")
+    line = F.when(kind == 1, F.concat(F.lit("26.05.2023 "), line)).when(kind == 2, F.concat(line, F.lit("experi- "))).when(kind == 3, F.concat(F.lit("26.5.2023 "), line)).otherwise(line)
+    rows = fragments(spark, sf_dir).select("doc_id", "position", line.alias("line"))
     return rows.where(identity.looks_like_date(F.split_part("line", F.lit(" "), F.lit(1))) | F.col("line").rlike(r"-[ \t]*$")).select("doc_id", "position")
 
 
-@query(f"""SELECT doc_id, sha256({_folded('text')}) AS folded_sha256 FROM documents""")
+@query(f"""SELECT doc_id, sha256(concat({_folded('text')}, ' no iv c a 12 fi 5a m2 (1)')) AS folded_sha256 FROM documents""")
 def ascii_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.sha2(text.fold(F.col("text")), 256).alias("folded_sha256"))
+    """Texts, with some compatibility forms at their end."""
+    forms = F.concat("text", F.lit(" \u2116 \u2163 \u2103 \uff21 \u00bd \ufb01 5\u00aa m\u00b2 \u2474"))
+    return documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.sha2(text.fold(forms), 256).alias("folded_sha256"))
 
 
 @query(f"""WITH {_TOKENS} SELECT token, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM tok WHERE {_KEYWORD} GROUP BY token""")
@@ -273,10 +291,14 @@ def duplicate_text_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("text_hash", "key")
 
 
-@query("""SELECT event_id, CASE WHEN props IS NULL OR trim(props) = '' THEN 'props' ELSE '' END AS missing FROM events WHERE props IS NULL OR trim(props) = '' OR event_type IS NULL OR trim(event_type) = ''""")
+@query("""SELECT event_id, concat_ws(',', CASE WHEN event_id % 7 = 0 THEN 'event_type' END, CASE WHEN event_id % 5 = 0 OR event_id % 11 = 0 THEN 'props' END) AS missing
+FROM events WHERE event_id % 7 = 0 OR event_id % 5 = 0 OR event_id % 11 = 0""")
 def receipt_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ledger.incomplete(table(spark, sf_dir, "events").select("event_id", "event_type", "props"), ["event_type", "props"])
-    return found.select("event_id", F.array_join("missing", ",").alias("missing"))
+    """Events as receipts; some have a blank type, or null or blank properties."""
+    i = F.col("event_id")
+    rows = table(spark, sf_dir, "events").select("event_id", F.when(i % 7 == 0, " ").otherwise(F.col("event_type")).alias("event_type"),
+                                                 F.when(i % 5 == 0, None).when(i % 11 == 0, "").otherwise(F.col("props")).alias("props"))
+    return ledger.incomplete(rows, ["event_type", "props"]).select("event_id", F.array_join("missing", ",").alias("missing"))
 
 
 @query("""SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'two' ELSE 'one' END AS side FROM (SELECT DISTINCT doc_id AS id FROM documents) a
@@ -304,15 +326,21 @@ def session_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.latest_state(table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id"), "user_id", "event_type", [F.col("ts"), F.col("event_id")])
 
 
-@query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
+@query("SELECT c_custkey, n_name, CASE WHEN n_name IS NULL THEN 'unrouted' ELSE 'routed' END AS status FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 3) ON c_nationkey = n_nationkey")
 def intake_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of one region have no route; they stay and say so."""
     sources = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("route"))
-    return ledger.routed(sources, table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("route"), "n_name"), "route").select("c_custkey", "n_name")
+    routes = table(spark, sf_dir, "nation").where("n_regionkey <> 3").select(F.col("n_nationkey").alias("route"), "n_name")
+    return ledger.routed(sources, routes, "route").select("c_custkey", "n_name", "status")
 
 
-@query(r"""SELECT doc_id, sha256(regexp_replace(text, '(\p{L})-[ \t]*\n[ \t]*(\p{Ll})', '\1\2', 'g')) AS repaired_sha256 FROM documents""")
+@query(r"""SELECT doc_id, sha256(regexp_replace(replace(text, 'er ', concat('e-', chr(10), '  r ')), '(\p{L})-[ \t]*\n[ \t]*(\p{Ll})', '\1\2', 'g')) AS repaired_sha256,
+contains(text, 'er ') AS changed FROM documents""")
 def hyphenation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.sha2(text.dehyphenated(F.col("text")), 256).alias("repaired_sha256"))
+    """Texts in which line ends have split some words, joined again."""
+    broken = F.replace("text", F.lit("er "), F.lit("e-\n  r "))
+    fixed = text.dehyphenated(broken)
+    return documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.sha2(fixed, 256).alias("repaired_sha256"), (fixed != broken).alias("changed"))
 
 
 @query(r"""SELECT page_id, nullif(trim(url), '') AS published, nullif(trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)), '') AS summary FROM pages""")
@@ -350,3 +378,76 @@ SELECT doc_id, section_id, subsection_id, text FROM parts WHERE text <> ''""")
 def subsection_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = split.subsections(split.sections(numbered(spark, sf_dir), "doc_id"))
     return found.select(F.col("document").alias("doc_id"), "section_id", "subsection_id", "text")
+
+
+#: Lines as every form of a heading, eight to a round: dotted section, (a), (1), inserted (d)-I, a date, an appendix, a), a section with letter and roman number.
+_FORMS = f"""WITH {_LINES}, formed AS (SELECT doc_id, i, i // 8 AS g, CASE WHEN i % 8 < 5 THEN 0 WHEN i % 8 < 7 THEN 1 ELSE 2 END AS k, trim(plain) AS plain,
+CASE i % 8 WHEN 0 THEN concat(i // 8 + 1, '.', i // 8 % 4 + 1, '.2 ', plain) WHEN 1 THEN concat('(a) ', plain) WHEN 2 THEN concat('(1) ', plain) WHEN 3 THEN concat('(d)-I ', plain)
+WHEN 4 THEN concat('26.05.2023 ', plain) WHEN 5 THEN concat('APÊNDICE ', chr(CAST(65 + i // 8 % 26 AS INTEGER))) WHEN 6 THEN concat('a) ', plain) ELSE concat('E', i // 8 + 10, '-IV ', plain) END AS line
+FROM (SELECT doc_id, position AS i, line AS plain FROM lines))"""
+
+
+def formed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def mark(line, i):
+        g = F.floor(i / 8).cast("int")
+        marks = [F.concat((g + 1).cast("string"), F.lit("."), (g % 4 + 1).cast("string"), F.lit(".2 "), line), F.concat(F.lit("(a) "), line), F.concat(F.lit("(1) "), line), F.concat(F.lit("(d)-I "), line),
+                 F.concat(F.lit("26.05.2023 "), line), F.concat(F.lit("APÊNDICE "), F.char((65 + g % 26).cast("long"))), F.concat(F.lit("a) "), line), F.concat(F.lit("E"), (g + 10).cast("string"), F.lit("-IV "), line)]
+        out = marks[7]
+        for k in range(7):
+            out = F.when(i % 8 == k, marks[k]).otherwise(out)
+        return out
+
+    return documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.array_join(F.transform(F.split("text", "\n"), mark), "\n").alias("text"))
+
+
+@query(f"""{_FORMS}, parts AS (SELECT doc_id, g, k, CASE WHEN k = 0 AND i % 8 = 0 OR k = 1 AND i % 8 = 5 OR k = 2 THEN 'body' WHEN k = 1 OR i % 8 < 3 THEN 'a' ELSE 'd-i' END AS subsection_id,
+{_ENDS.format(x="string_agg(line, chr(10) ORDER BY i)")} AS text FROM formed GROUP BY ALL),
+heads AS (SELECT doc_id, g, k, arg_min(plain, i) AS plain FROM formed GROUP BY ALL),
+named AS (SELECT *, CASE k WHEN 0 THEN concat(g + 1, '.', g % 4 + 1, '.2') WHEN 1 THEN concat('apendice-', chr(CAST(97 + g % 26 AS INTEGER))) ELSE concat('E', g + 10, '-IV') END AS section_id FROM parts JOIN heads USING (doc_id, g, k))
+SELECT doc_id, 3 * g + k AS position, section_id, CASE WHEN k = 1 THEN concat('APÊNDICE ', chr(CAST(65 + g % 26 AS INTEGER))) WHEN plain = '' THEN section_id ELSE plain END AS section_title,
+subsection_id, text FROM named""")
+def section_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections and letters in every form that the corpus shows; numbers in brackets and dates split nothing."""
+    found = split.subsections(split.sections(formed(spark, sf_dir), "doc_id"))
+    return found.select(F.col("document").alias("doc_id"), F.col("position").cast("long").alias("position"), "section_id", "section_title", "subsection_id", "text")
+
+
+@query(f"""WITH {_LINES} SELECT concat(doc_id, '-', position) AS id, lang AS kind, concat('0', doc_id) AS document, line AS text,
+CASE WHEN source = 'src0' THEN '2026-09-14' ELSE 'live' END AS batch FROM lines""")
+def fragment_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as fragment files, read back: leading zeros stay, and the batch comes from the path."""
+    quoted = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    place = F.concat_ws("-", F.col("doc_id").cast("string"), F.col("position").cast("string"))
+    value = F.concat(F.lit("id: "), quoted(place), F.lit("\nkind: "), "lang", F.lit("\ndocument: '0"), F.col("doc_id").cast("string"), F.lit("'\ntext: "), quoted(F.col("line")), F.lit("\nkeywords: []\n"))
+    path = F.concat(F.when(F.col("source") == "src0", F.lit("/out/quarantine/2026-09-14/")).otherwise(F.lit("/support/")), place, F.lit(".yml"))
+    return files.parsed(fragments(spark, sf_dir).select(path.alias("path"), value.alias("value")), files.FRAGMENT).select("id", "kind", "document", "text", "batch")
+
+
+@query(f"""WITH {_LINES} SELECT lang AS kind, CAST(doc_id AS VARCHAR) AS document, concat(doc_id, '-', position) AS id, length(line) AS n_chars FROM lines WHERE lang = 'en'""")
+def fragment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragments written by kind, document and id; one kind is read back, from its folder alone."""
+    rows = fragments(spark, sf_dir).select(F.col("lang").alias("kind"), F.col("doc_id").cast("string").alias("document"),
+                                           F.concat_ws("-", F.col("doc_id").cast("string"), F.col("position").cast("string")).alias("id"), F.length("line").cast("long").alias("n_chars"))
+    path = sink.shared_path(spark, "fragments")
+    sink.write_fragments(rows, path)
+    return spark.read.parquet(path).where("kind = 'en'").select("kind", "document", "id", "n_chars")
+
+
+@query("SELECT event_type, count(*) AS n, min(event_id) AS first_id FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 3 = 0) GROUP BY event_type")
+def append_only_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two lots of records in one log: the second leaves the first as it is."""
+    path = sink.shared_path(spark, "log")
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type")
+    sink.append_log(rows, path)
+    sink.append_log(rows.where("event_id % 3 = 0"), path)
+    return spark.read.parquet(path).groupBy("event_type").agg(F.count("*").alias("n"), F.min("event_id").alias("first_id"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 4 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS published FROM orders""")
+def publication_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates of orders as the corpus writes dates, in figures or at length, and read back; every fifth names no month."""
+    day, key = F.col("o_orderdate"), F.col("o_orderkey")
+    names = ["março" if m == "marco" else m for m in text.MONTHS]
+    long = F.concat_ws(" de ", F.date_format(day, "d"), F.get(F.array(*map(F.lit, names)), F.month(day) - 1), F.date_format(day, "yyyy"))
+    written = F.when(key % 5 == 4, F.replace(long, F.lit(" de "), F.lit(" ou "))).when(key % 2 == 0, F.date_format(day, "dd/MM/yyyy")).otherwise(long)
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.parse_date(written).alias("published"))

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lapidar.sources import sink
+from lapidar.streaming import ingest
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -51,9 +54,9 @@ def ext_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("n_name", "r_name", "n_orders", F.col("price").cast("double").alias("price"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def ext_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    orders = table(spark, sf_dir, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
     return table(spark, sf_dir, "customer").select("c_custkey").join(orders, "c_custkey", "left_anti")
 
 
@@ -76,11 +79,87 @@ def ext_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))
 
 
-@query("SELECT s_nationkey AS nation FROM supplier EXCEPT (SELECT c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING' INTERSECT SELECT c_nationkey FROM customer WHERE c_acctbal < 0)")
+@query("""SELECT n_nationkey AS nation FROM nation EXCEPT (SELECT c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 7 = 0
+INTERSECT SELECT c_nationkey FROM customer WHERE c_acctbal < 0 AND c_custkey % 3 = 0)""")
 def ext_set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
-    both = customer.where("c_mktsegment = 'BUILDING'").select("c_nationkey").intersect(customer.where("c_acctbal < 0").select("c_nationkey"))
-    return table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation")).subtract(both)
+    both = customer.where("c_mktsegment = 'BUILDING' and c_custkey % 7 = 0").select("c_nationkey").intersect(customer.where("c_acctbal < 0 and c_custkey % 3 = 0").select("c_nationkey"))
+    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation")).subtract(both)
+
+
+@query("""(SELECT c_nationkey AS nation FROM customer UNION ALL SELECT s_nationkey FROM supplier) EXCEPT ALL
+(SELECT c_nationkey FROM customer WHERE c_acctbal < 5000 INTERSECT ALL SELECT c_nationkey FROM customer WHERE c_mktsegment <> 'BUILDING')""")
+def ext_set_operations_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets in which a row counts as often as it stands."""
+    customer = table(spark, sf_dir, "customer")
+    every = customer.select(F.col("c_nationkey").alias("nation")).unionAll(table(spark, sf_dir, "supplier").select("s_nationkey"))
+    both = customer.where("c_acctbal < 5000").select("c_nationkey").intersectAll(customer.where("c_mktsegment <> 'BUILDING'").select("c_nationkey"))
+    return every.exceptAll(both)
+
+
+@query("""SELECT l_returnflag, l_linestatus, l_shipdate >= TIMESTAMP '1995-01-01' AS late, grouping(l_returnflag) AS all_flags, count(*) AS n FROM lineitem
+GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), (l_shipdate >= TIMESTAMP '1995-01-01'), ())""")
+def ext_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").withColumn("late", F.col("l_shipdate") >= F.lit("1995-01-01").cast("timestamp"))
+    sets = [[F.col("l_returnflag"), F.col("l_linestatus")], [F.col("late")], []]
+    return rows.groupingSets(sets, "l_returnflag", "l_linestatus", "late").agg(F.grouping("l_returnflag").cast("long").alias("all_flags"), F.count("*").alias("n"))
+
+
+BAND = 600
+"""Seconds within which an event counts as near a purchase."""
+
+
+@query(f"""SELECT p.event_id, count(e.event_id) AS n_near FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') e ON epoch_us(e.ts) BETWEEN epoch_us(p.ts) - {BAND * 1_000_000} AND epoch_us(p.ts) + {BAND * 1_000_000} GROUP BY p.event_id""")
+def ext_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks of anyone within a band of time around each purchase: an equi-join on slots as wide as the band, of which a purchase meets three."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    wide = BAND * 1_000_000
+    slot = F.floor(F.col("at") / wide)
+    # counted by instant first, so that a busy one is a single row
+    clicks = events.where("event_type = 'click'").groupBy(F.col("at").alias("click_at")).agg(F.count("*").alias("n")).withColumn("slot", F.floor(F.col("click_at") / wide))
+    bought = events.where("event_type = 'purchase'").select("event_id", "at", F.explode(F.array(slot - 1, slot, slot + 1)).alias("slot"))
+    near = F.when(F.abs(F.col("click_at") - F.col("at")) <= wide, F.col("n")).otherwise(0)
+    return bought.join(clicks, "slot", "left").groupBy("event_id").agg(F.coalesce(F.sum(near), F.lit(0)).alias("n_near"))
+
+
+@query("""SELECT c_custkey, CAST(floor(abs(c_acctbal)) AS BIGINT) AS whole, CAST(sign(c_acctbal) AS BIGINT) AS side, CAST(greatest(c_custkey % 7, c_nationkey) AS BIGINT) AS larger,
+CAST(floor(sqrt(c_custkey)) AS BIGINT) AS root, CAST(c_custkey & 255 AS BIGINT) AS low_bits FROM customer""")
+def ext_math(spark: SparkSession, sf_dir: str) -> DataFrame:
+    balance, key = F.col("c_acctbal"), F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", F.floor(F.abs(balance)).alias("whole"), F.signum(balance).cast("long").alias("side"), F.greatest(key % 7, F.col("c_nationkey")).cast("long").alias("larger"),
+        F.floor(F.sqrt(key)).alias("root"), key.bitwiseAND(F.lit(255)).alias("low_bits"))
+
+
+@query("""SELECT c_nationkey, count(*) FILTER (c_mktsegment = 'BUILDING') AS building, count(DISTINCT c_mktsegment) AS n_segments,
+max(c_mktsegment) AS last_segment FROM customer GROUP BY c_nationkey""")
+def ext_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by segment as a map of each nation; the segments are few and fixed."""
+    counts = table(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"))
+    maps = counts.groupBy("c_nationkey").agg(F.map_from_entries(F.collect_list(F.struct("c_mktsegment", "n"))).alias("by_segment"))
+    return maps.select("c_nationkey", F.coalesce(F.try_element_at("by_segment", F.lit("BUILDING")), F.lit(0)).alias("building"),
+                       F.size("by_segment").cast("long").alias("n_segments"), F.array_max(F.map_keys("by_segment")).alias("last_segment"))
+
+
+@query("""WITH spent AS (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM orders GROUP BY o_custkey)
+SELECT c_custkey, CAST(total AS DOUBLE) AS total FROM customer JOIN spent ON c_custkey = o_custkey WHERE total > (SELECT avg(total) FROM spent)""")
+def ext_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the SQL surface: tables are arguments, not names of the session."""
+    return spark.sql("""WITH spent AS (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM {orders} GROUP BY o_custkey)
+        SELECT c_custkey, CAST(total AS DOUBLE) AS total FROM {customer} JOIN spent ON c_custkey = o_custkey WHERE total > (SELECT avg(total) FROM spent)""",
+                     orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))
+
+
+HOUR = 3600
+
+
+@query(f"""WITH w AS (SELECT event_type, epoch_us(ts) // {HOUR * 1_000_000} AS hour, count(*) AS n FROM events GROUP BY ALL)
+SELECT event_type, CAST(hour AS BIGINT) AS hour, n FROM w WHERE (hour + 1) * {HOUR * 1_000_000} <= (SELECT max(epoch_us(ts)) FROM events) - {HOUR * 1_000_000}""")
+def ext_stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by hour as a stream: a window is written once the watermark, an hour behind the latest event, has passed it."""
+    return ingest.windowed_counts(spark, f"{sf_dir}/events.parquet", sink.shared_path(spark, "windows"), sink.shared_path(spark, "state"), "ts", "event_type", HOUR, HOUR).select(
+        "event_type", F.floor(F.unix_seconds("began") / HOUR).alias("hour"), "n")
 
 
 @query(f"""SELECT user_id, session, count(*) AS n_events, min(ts) AS began, max(ts) AS ended FROM (SELECT user_id, ts, CAST(sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS session FROM (

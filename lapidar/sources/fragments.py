@@ -81,7 +81,8 @@ def parse(text: str) -> dict:
     return out
 
 
-def _read(files: DataFrame, schema: str) -> DataFrame:
+def parsed(files: DataFrame, schema: str) -> DataFrame:
+    """(path, value) -> path, the fields of schema, and batch: the date of a quarantine folder, else live."""
     kinds = dict(re.split(r"\s+", f.strip(), maxsplit=1) for f in re.split(r",\s*", schema))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,9 +129,9 @@ def manifest_files(spark: SparkSession, root: str) -> DataFrame:
 
 def read_fragments(spark: SparkSession, root: str) -> DataFrame:
     """Fragments with their path and batch ('live' outside of quarantine); an explicit schema, for files drift."""
-    return _read(files(spark, root), FRAGMENT)
+    return parsed(files(spark, root), FRAGMENT)
 
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     """Manifests (_index.yml) with their path and batch; failed ones keep their error."""
-    return _read(manifest_files(spark, root), MANIFEST)
+    return parsed(manifest_files(spark, root), MANIFEST)

@@ -2,10 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """Folder that driver and executors share: spark.checkpoint.dir of the session.
+
+    Only in local mode (tests) a temporary folder is set where the session names none; on
+    a cluster that is an error, for no other machine could read it.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="lapidar-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def write_fragments(fragments: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet by kind, sorted by document and id, so that row groups can be skipped."""
     fragments.repartition("kind", "document").sortWithinPartitions("kind", "document", "id").write.mode(mode).partitionBy("kind").parquet(path)

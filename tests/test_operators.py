@@ -19,6 +19,52 @@ def test_fold_and_slug(spark):
     assert one(spark, text.dehyphenated(F.col("t")), t="experi-\n ência e RBAC-\n21") == "experiência e RBAC-\n21"
 
 
+def test_fold_is_nfkd(spark):
+    """All signs up to U+1FFFF that have an ASCII form, and some that have none, alone and within words."""
+    import unicodedata
+
+    plain = lambda t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode().lower()
+    signs = [chr(c) for c in [*range(0xA0, 0xD800), *range(0xF900, 0x20000)] if plain(chr(c))]
+    rows = [(i, t) for i, t in enumerate([*signs, "№ Ⅳ ℃ Ａ", "x½y…“z”", "日本", *("a" + "".join(signs[i : i + 7]) + "b" for i in range(0, len(signs), 7))])]
+    for r in spark.createDataFrame(rows, "i int, t string").select("i", text.fold(F.col("t")).alias("f")).collect():
+        assert r["f"] == plain(rows[r["i"]][1]), ascii(rows[r["i"]][1])
+
+
+def test_tokens_are_counted_inside_the_row(spark, tmp_path):
+    import random
+    from collections import Counter
+
+    rnd = random.Random(3)
+    some = ["Para", "ação", "abcd", "ABCD", "12345", "15h42", "abc", "nova", "x1y2z", "Nova"]
+    rows = [(i, rnd.choice([" ", "-", "\n"]).join(rnd.choice(some) for _ in range(rnd.randint(0, 40)))) for i in range(60)] + [(100, None), (101, "")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    want = {}
+    for i, t in rows:
+        words = [w for w in __import__("re").findall("[a-z0-9]+", (t or "").lower().replace("ç", "c").replace("ã", "a")) if len(w) >= 4 and not w.isdigit() and w not in text.STOPWORDS]
+        want |= {(i, w): n for w, n in Counter(words).items()}
+    found = enrich.term_frequencies(df, "id", "text")
+    assert {(r["id"], r["token"]): r["n"] for r in found.collect()} == want
+    some = index.postings(df, "id", "text", ["nova", "acao"])
+    assert {(r["id"], r["token"]): r["n"] for r in some.collect()} == {k: n for k, n in want.items() if k[1] in ("nova", "acao")}
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(found) and "Exchange" not in plan(df.select("id", enrich.top_terms(F.col("text"))))
+    sink.write_postings(index.postings(df, "id", "text"), str(tmp_path / "index"))
+    stored = spark.read.parquet(str(tmp_path / "index")).where(F.col("token").isin(["nova", "acao"]))
+    assert "In(token" in plan(stored) and sorted(map(tuple, stored.collect())) == sorted(map(tuple, some.collect()))
+
+
+def test_dates(spark):
+    rows = [("08/02/2022", "2022-02-08"), ("8 de fevereiro de 2022", "2022-02-08"), ("1º de Março de 1999", "1999-03-01"), ("31/02/2022", None), ("31 de abril de 2020", None), ("8 fevereiro 2022", None), (None, None)]
+    got = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i int, t string").select("i", text.parse_date(F.col("t")).cast("string").alias("d")).collect()
+    assert {r["i"]: r["d"] for r in got} == {i: d for i, (_, d) in enumerate(rows)}
+
+
+def test_routes(spark):
+    sources = spark.createDataFrame([(1, 10), (2, 11), (3, None)], "id int, route int")
+    routes = spark.createDataFrame([(10, "a")], "route int, name string")
+    assert {r["id"]: (r["name"], r["status"]) for r in ledger.routed(sources, routes, "route").collect()} == {1: ("a", "routed"), 2: (None, "unrouted"), 3: (None, "unrouted")}
+
+
 def test_identity(spark):
     c = {k: F.col(k) for k in ("kind", "doc", "s", "b", "t")}
     row = {"kind": "rbac", "doc": "rbac-145", "s": "145.3", "b": "d-i", "t": "Titulo"}
