@@ -2,27 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir of the session.
-
-    Only in local mode (tests) a temporary folder is set where the session names none; on
-    a cluster that is an error, for no other machine could read it.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="lapidar-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+from lapidar.sources.sink import shared_path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -32,7 +17,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     results that depend on the order of rows are fixed once.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
