@@ -45,7 +45,7 @@ def matrix_sum(rows: DataFrame, fill: Callable[[Iterator[pa.RecordBatch], np.nda
 
     The matrix has the same size whatever the input; so has what reaches the driver.
     Sums are added as a tree: MERGED blocks of a chunk in each step, one at a time, dealt out
-    by chunk and group over the session's shuffle partitions; after STEPS of them a
+    by chunk and group, first over the session's shuffle partitions or one for each chunk; after STEPS of them a
     million tasks have left 16 blocks of a chunk for the last.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,9 +54,12 @@ def matrix_sum(rows: DataFrame, fill: Callable[[Iterator[pa.RecordBatch], np.nda
         yield from _emit(matrix, TaskContext.get().partitionId())
 
     parts = rows.mapInArrow(run, _SCHEMA)
-    for _ in range(STEPS):
-        parts = parts.repartition("chunk", F.floor(F.col("part") / MERGED)).mapInArrow(_added(dtype), _SCHEMA)
-    whole = parts.withColumn("part", F.lit(0).cast("long")).repartition("chunk").mapInArrow(_added(dtype), _SCHEMA)
+    n = -(-shape[0] // ROWS)
+    # a number, for blocks are few and large: joined partitions would be read by fewer tasks than there are chunks
+    many = max(n, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    for k in range(STEPS):
+        parts = parts.repartition(many if k == 0 else n, "chunk", F.floor(F.col("part") / MERGED)).mapInArrow(_added(dtype), _SCHEMA)
+    whole = parts.withColumn("part", F.lit(0).cast("long")).repartition(n, "chunk").mapInArrow(_added(dtype), _SCHEMA)
     out = np.zeros(shape, dtype)
     for x in whole.collect():
         block = np.frombuffer(x["block"], dtype).reshape(-1, shape[1])

@@ -156,14 +156,15 @@ class GrayIndex:
 
 
 def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, bits long): the fingerprint of each row; null text and text without words have zero."""
+    """(doc_id, text_hash, bits long): the fingerprint of each row; null text and text without words have zero."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, t in texts_of(b.column(1)):
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(fingerprints(t, shingle).view(np.int64))], ["doc_id", "bits"])
+                own = b.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(2), pa.array(fingerprints(t, shingle).view(np.int64))], ["doc_id", "text_hash", "bits"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, bits long")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text)).mapInArrow(run, "doc_id long, text_hash long, bits long")
 
 
 def links(classes: DataFrame, distance: int = DISTANCE, group: int = GROUP, split: int = SPLIT) -> DataFrame:
@@ -220,7 +221,7 @@ def links(classes: DataFrame, distance: int = DISTANCE, group: int = GROUP, spli
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE,
                 group: int = GROUP, split: int = SPLIT) -> DataFrame:
-    """One row per row of docs: doc_id, bits (the fingerprint), component_id.
+    """One row per row of docs: doc_id, text_hash, bits (the fingerprint), component_id.
 
     component_id is the smallest id that links of at most distance differing bits reach.
     Rows of one fingerprint are one class before any search, so copies are never paired.
@@ -234,4 +235,20 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = written(marked.groupBy("bits").agg(F.min("doc_id").alias("node")), "classes")
     found = connected_components(links(classes.where("node is not null"), distance, group, split))
     placed = classes.join(found, "node", "left").select("bits", F.coalesce("component", "node").alias("component_id"))
-    return marked.join(placed, "bits").select("doc_id", "bits", "component_id")
+    return marked.join(placed, "bits").select("doc_id", "text_hash", "bits", "component_id")
+
+
+def surplus(found: DataFrame) -> DataFrame:
+    """(doc_id, text_hash) of the rows of near_copies() that go where one document of each component stays.
+
+    The smallest id stays; of several texts under it the one whose hash is least; of
+    texts that have no id, nor a component with one, likewise within a fingerprint.
+    Repeated rows are one document: they stay or go together.
+    """
+    group = F.when(F.col("doc_id").isNull(), F.col("bits"))
+    first = found.where("doc_id <=> component_id").withColumn("group", group)
+    several = first.groupBy("doc_id", "group").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high")).where("low < high")
+    several = several.withColumnsRenamed({"doc_id": "own_id", "group": "own_group"}).drop("high")
+    met = F.col("doc_id").eqNullSafe(F.col("own_id")) & F.col("group").eqNullSafe(F.col("own_group")) & (F.col("text_hash") > F.col("low"))
+    more = first.join(several, met).select("doc_id", "text_hash")
+    return found.where("not (doc_id <=> component_id)").select("doc_id", "text_hash").unionByName(more).distinct()

@@ -86,6 +86,19 @@ def test_near_copies(spark, odd, odd_rows, empty, corpus, corpus_df):
     assert simhash.near_copies(empty).count() == 0
 
 
+def test_one_document_of_each_component_stays(spark):
+    """Rows that share an id are judged by their texts; rows without id too."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    texts = ["one text of some words here", "quite another text stands there", "and a third one that is alone", "x y z"]
+    rows = [(1, texts[0]), (2, texts[0]), (3, texts[1]), (2, texts[1]), (5, texts[2]), (5, texts[2]), (None, texts[0]), (None, texts[3]), (None, texts[3]), (7, None), (8, ""), (9, texts[1])]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, place int")
+    kept = sorted(r["place"] for r in corpus_pipeline.near_copies(spark, df, SF).collect())
+    assert kept == [0, 3, 4, 5, 7, 8, 9]
+    # one id, several texts in one component: one of them stays
+    near = spark.createDataFrame([(1, "", 0), (1, None, 1), (1, " ", 2), (4, "  ", 3)], "doc_id long, text string, place int")
+    assert len(corpus_pipeline.near_copies(spark, near, SF).collect()) == 1
+
+
 def test_hot_groups_are_dealt_out(spark):
     """One ball of fingerprints, in many small cells, is still one component."""
     rng = np.random.default_rng(2)
@@ -286,6 +299,32 @@ def test_classifier_on_held_out_rows(spark, odd, odd_rows, empty):
     assert {r["score"] for r in classifier.scored(odd, none).collect()} == {0.5}
 
 
+def test_labels_of_held_out_rows_are_not_read(spark, tmp_path):
+    """Scores are the same whatever the labels of held-out rows say, and whatever other columns hold."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    changed = labels.selectExpr("doc_id", "case when crc32(cast(cast(doc_id as string) as binary)) % 5 = 0 then 1 - quality else quality end as quality", "1 - toxic as toxic")
+    docs.selectExpr("doc_id", "text", "'xx' as lang", "'s' as source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    changed.write.parquet(f"{tmp_path}/labels.parquet")
+    one, two = ({r["doc_id"]: round(r["score"], 6) for r in QUERIES["op6_quality_classifier"](spark, d).collect()} for d in (sf, str(tmp_path)))
+    assert one == two
+
+
+def test_temperature_calibrates():
+    """Of labels drawn at known odds, scores come close to the share of positives; the best temperature is chosen on rows put aside."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(4000, 2 * classifier.SIZE + 3))
+    odds = 1 / (1 + np.exp(-1.5 * x[:, 0]))
+    net = classifier.fit(np.zeros((classifier.SIZE, classifier.SLOTS), np.float32), x[:2000], (rng.random(2000) < odds[:2000]).astype(float))
+    score = net.score(x[2000:])
+    y = (rng.random(2000) < odds[2000:]).astype(float)
+    for lo, hi in ((0, 0.3), (0.3, 0.7), (0.7, 1)):
+        some = (score >= lo) & (score < hi)
+        assert some.sum() > 100 and abs(score[some].mean() - y[some].mean()) < 0.1
+    logit, t = net.logit(x[2000:]), net.temperature
+    assert classifier._loss(logit / t, y) <= classifier._loss(logit, y) + 0.01
+
+
 def test_common_order():
     def plain(a, b):
         row = [0] * (len(b) + 1)
