@@ -15,11 +15,6 @@ from lapidar.llm.entries import table, tokenizer_path
 from lapidar.sources.shipping import ship
 
 
-def without(docs: DataFrame, lost: DataFrame) -> DataFrame:
-    """Rows of docs but those whose id lost has; rows without id stay."""
-    return docs.join(lost.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules reject go."""
     ship(spark)
@@ -29,7 +24,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the document with the smallest id stays."""
     ship(spark)
-    return without(docs, simhash.near_copies(docs).where("doc_id <> component_id"))
+    lost = simhash.surplus(simhash.near_copies(docs)).withColumnsRenamed({"doc_id": "lost_id", "text_hash": "lost_hash"})
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("lost_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("lost_hash"))
+    return docs.join(lost, same, "left_anti")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
