@@ -209,6 +209,80 @@ def test_secrets_battery(spark):
     assert all(p[60 + i] < 1e-3 for i in range(len(plain)))
 
 
+def brute_p(token):
+    """p-value of the battery by the standard library."""
+    import math
+
+    tail = lambda z: math.erfc(z / 2**0.5) / 2
+    letters = next(a for pattern, a in secret_scan.ENCODINGS if re.search(pattern, token))
+    n, m = len(token), len(letters)
+    values = [letters.index(c) + 1 for c in token]
+    chi = (m / n * sum(token.count(c) ** 2 for c in letters) - n - (m - 1)) / math.sqrt(2 * (m - 1) * (n - 1) / n)
+    above = [v > m / 2 for v in values]
+    twice, runs = 2 * sum(above) * (n - sum(above)), 1 + sum(a != b for a, b in zip(above, above[1:]))
+    var = twice * (twice - n) / (n * n * (n - 1))
+    run_z = (runs - 1 - twice / n) / math.sqrt(var) if var > 0 else math.sqrt(n)
+    mean = sum(values) / n
+    own = sum((v - mean) ** 2 for v in values)
+    serial = (sum((a - mean) * (b - mean) for a, b in zip(values, values[1:])) / own + 1 / n) * math.sqrt(n) if own else math.sqrt(n)
+    e = sum(-math.log(min(max(p, 1e-30), 1.0)) for p in (tail(chi), 2 * tail(abs(run_z)), 2 * tail(abs(serial))))
+    return math.exp(-e) * (1 + e + e * e / 2)
+
+
+def brute_cutoffs(tokens, rate):
+    """By class of length, the largest binned p-value that the step-up rule of Benjamini and Hochberg puts aside."""
+    import math
+
+    groups = {}
+    for t in set(tokens):
+        groups.setdefault(min(int(math.log2(len(t))), secret_scan.CLASSES - 1), []).append(min(int(-math.log10(max(brute_p(t), 1e-300)) * 10), secret_scan.LAST_BIN))
+    out = {}
+    for size, bins in groups.items():
+        ordered = sorted(bins, reverse=True)  # the least p-value first
+        fits = [b for b in set(ordered) if 10 ** (-b / 10) <= rate * sum(x >= b for x in ordered) / len(ordered)]
+        out[size] = min(fits, default=secret_scan.LAST_BIN + 1)
+    return out
+
+
+def test_random_spans_by_brute_force(spark):
+    """Cutoffs, verdicts and places; and how much of what is random is told from names that aren't."""
+    import math
+    import random
+
+    rnd = random.Random(6)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    fair = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(20, 70))) for _ in range(300)]
+    parts = ["get", "User", "Name", "value", "Table", "index", "2020", "of", "v2", "List", "Item", "count", "Order", "max", "10", "Http", "server", "test"]
+    names = ["_".join(rnd.choice(parts) for _ in range(rnd.randint(5, 12))) + "1a" for _ in range(300)]
+    plain = ["ab1" * 9, "1a" * 14, "x" * 25 + "9z", "0123456789abcdefghijk", "just words here", "aaaaaaaaaaaaaaaaaaaaaaaa"]
+    rows = []
+    for i in range(150):
+        some = [rnd.choice([fair, names, plain])[0:][rnd.randrange(6)] if rnd.random() < 0.2 else rnd.choice(rnd.choice([fair, names, plain])) for _ in range(rnd.randint(0, 6))]
+        if i % 9 == 0:
+            some.insert(0, "token = " + rnd.choice(fair))
+        rows.append((i, rnd.choice([" ", "\n", " é, "]).join(some)))
+    rows += [(1000 + i, t) for i, t in enumerate(fair + names)]
+    mixed = lambda t: bool(re.search("[0-9]", t) and re.search("[A-Za-z]", t) and not re.search("^[A-Za-z]*[0-9]{1,4}$", t))
+    found = {i: [(m.start(), m.end(), m[0]) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t) if mixed(m[0])] for i, t in rows}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = brute_cutoffs([t for some in found.values() for _, _, t in some], secret_scan.FALSE_DISCOVERY)
+    got = secret_scan.cutoffs(df.select("text"))
+    assert got.keys() == cut.keys() and all(abs(got[k] - cut[k]) <= 1 for k in cut)
+    spans = {r["doc_id"]: {(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "random"} for r in secret_scan.find_secrets(df).collect()}
+    for i, text in rows:
+        base = brute_secrets(text)
+        for a, e, token in found[i]:
+            k = min(int(math.log2(len(token))), secret_scan.CLASSES - 1)
+            b = min(int(-math.log10(max(brute_p(token), 1e-300)) * 10), secret_scan.LAST_BIN)
+            if abs(b - cut[k]) > 1:  # at the border rounding may decide
+                assert ((a, e) in spans[i]) == (b < cut[k] and not any(s < e and a < z for s, _, z, _ in base)), token
+        assert spans[i] <= {(a, e) for a, e, _ in found[i]}
+    random_found = np.mean([bool(spans[1000 + i]) for i, t in enumerate(fair) if mixed(t) and not brute_secrets(t)])
+    names_found = np.mean([bool(spans[1300 + i]) for i in range(len(names))])
+    print("random", random_found, "names", names_found)
+    assert random_found >= 0.85 and names_found <= 0.1
+
+
 def test_secrets_query_counts(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op4_secret_scan"](spark, SF).collect():
