@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # Words that never became keywords in the corpus.
 STOPWORDS = """para deve anac rbac pela devem pelo como conforme esta quando sobre qualquer serao item mais podera apos entre sera este itens
-suas antes previsto previstos prevista previstas seus nesta emenda rbha neste onde tambem sido apenas sendo esse poderao essa ainda""".split()
+suas antes previsto previstos prevista previstas seus nesta emenda rbha neste onde tambem sido apenas sendo esse poderao essa ainda muito""".split()
 
 
 def _fold_table() -> tuple[str, str, dict[str, str], str]:
@@ -33,15 +33,25 @@ def _fold_table() -> tuple[str, str, dict[str, str], str]:
 _FROM, _TO, _SEVERAL, _RARE = _fold_table()
 
 
-def fold(text: Column) -> Column:
-    """Compatibility forms and accents off (NFKD), what isn't ASCII then dropped, in lower case."""
+def _decomposed(text: Column, drop: str) -> Column:
+    """Compatibility forms and accents off (NFKD), what matches drop then removed, in lower case."""
     table = F.create_map(*(F.lit(x) for pair in _SEVERAL.items() for x in pair))
     rare = F.array_join(F.transform(F.split(text, ""), lambda c: F.when(F.octet_length(c) > 1, F.coalesce(F.try_element_at(table, c), c)).otherwise(c)), "")
     wide = F.when(text.rlike(_RARE), rare).otherwise(text)
-    plain = F.regexp_replace(F.translate(wide, _FROM, _TO), r"[^\x00-\x7F]", "")
+    plain = F.regexp_replace(F.translate(wide, _FROM, _TO), drop, "")
     return F.lower(F.when(F.octet_length(text) == F.length(text), text).otherwise(plain))  # ASCII has as many bytes as letters
 
 
+def fold(text: Column) -> Column:
+    """As slugs have it: what has no ASCII form is dropped."""
+    return _decomposed(text, r"[^\x00-\x7F]")
+
+
+def unaccented(text: Column) -> Column:
+    """As words are taken from it: marks are dropped, other signs stay and part what is on their two sides."""
+    return _decomposed(text, r"\p{Mn}+")
+
+
 def strip(text: Column) -> Column:
     """White space off both ends."""
     return F.regexp_replace(text, r"^\s+|\s+$", "")
@@ -53,13 +63,13 @@ def slug(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Runs of letters and digits of the folded text, in order, repeats included."""
-    return F.regexp_extract_all(fold(text), F.lit("[a-z0-9]+"), F.lit(0))
+    """Runs of letters and digits of the unaccented text, in order, repeats included."""
+    return F.regexp_extract_all(unaccented(text), F.lit("[a-z0-9]+"), F.lit(0))
 
 
 def keyword_tokens(text: Column, stopwords: list[str] = STOPWORDS) -> Column:
     """Those tokens that may be keywords: four signs or more, not a number, not a stopword; in order, repeats included."""
-    long = F.regexp_extract_all(fold(text), F.lit("(?<![a-z0-9])(?=[0-9]*+[a-z])[a-z0-9]{4,}"), F.lit(0))
+    long = F.regexp_extract_all(unaccented(text), F.lit("(?<![a-z0-9])(?=[0-9]*+[a-z])[a-z0-9]{4,}"), F.lit(0))
     return F.filter(long, lambda t: ~t.isin(stopwords))
 
 

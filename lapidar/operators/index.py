@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapidar.functions.text import counted, fold, keyword_tokens
+from lapidar.functions.text import counted, keyword_tokens, unaccented
 
 
 def manifest(fragments: DataFrame, document_col: str, section_col: str, position_cols: list[str], id_col: str) -> DataFrame:
@@ -23,7 +23,7 @@ def postings(docs: DataFrame, id_col: str, text_col: str, terms: list[str] | Non
     other word is made a row.
     """
     text = F.col(text_col)
-    found = keyword_tokens(text) if terms is None else F.regexp_extract_all(fold(text), F.lit(rf"(?<![a-z0-9])(?:{'|'.join(sorted(terms))})(?![a-z0-9])"), F.lit(0))
+    found = keyword_tokens(text) if terms is None else F.regexp_extract_all(unaccented(text), F.lit(rf"(?<![a-z0-9])(?:{'|'.join(sorted(terms))})(?![a-z0-9])"), F.lit(0))
     return docs.select(id_col, F.inline(counted(found))).select("token", id_col, "n")
 
 

@@ -55,8 +55,12 @@ def _slug(x: str) -> str:
     return f"regexp_replace(regexp_replace({_folded(x)}, '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
 
 
+def _unaccented(x: str) -> str:
+    return f"lower(strip_accents({x}))"
+
+
 _KEYWORD = f"length(token) >= 4 AND NOT regexp_matches(token, '^[0-9]+$') AND token NOT IN ({_quoted(text.STOPWORDS)})"
-_TOKENS = f"tok AS (SELECT doc_id, unnest(regexp_extract_all({_folded('text')}, '[a-z0-9]+')) AS token FROM documents)"
+_TOKENS = f"tok AS (SELECT doc_id, unnest(regexp_extract_all({_unaccented('text')}, '[a-z0-9]+')) AS token FROM documents)"
 _TF = f"{_TOKENS}, tf AS (SELECT doc_id, token, count(*) AS n FROM tok WHERE {_KEYWORD} GROUP BY doc_id, token)"
 _FAMILY = "CAST(TRY_CAST(nullif(regexp_extract({x}, '[0-9]{{1,3}}'), '') AS INTEGER) AS VARCHAR)"
 _CATEGORIES = "CASE {f} " + " ".join(f"WHEN '{k}' THEN '{','.join(v)}'" for k, v in identity.CATEGORIES.items()) + " ELSE 'legislacao' END"
@@ -214,7 +218,7 @@ def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _KEYWORDS = f"""WITH rows AS (SELECT doc_id, {_CATEGORIES.format(f=_FAMILY.format(x='source'))} AS categories, split_part(text, chr(10), 1) AS title, text FROM documents),
-tok AS (SELECT doc_id, unnest(regexp_extract_all({_folded("concat_ws(' ', title, title, text)")}, '[a-z0-9]+')) AS token FROM rows),
+tok AS (SELECT doc_id, unnest(regexp_extract_all({_unaccented("concat_ws(' ', title, title, text)")}, '[a-z0-9]+')) AS token FROM rows),
 tf AS (SELECT doc_id, token, count(*) AS n FROM tok WHERE {_KEYWORD} GROUP BY doc_id, token),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, token) AS place FROM tf),
 top AS (SELECT doc_id, place, token FROM ranked WHERE place <= 12),

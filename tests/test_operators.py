@@ -16,6 +16,7 @@ def test_fold_and_slug(spark):
     assert one(spark, text.fold(F.col("t")), t="Ação Nº 5ª m² ﬁm ß ñ É½") == "acao no 5a m2 fim  n e12"
     assert one(spark, text.slug(F.col("t")), t="  Apêndice A, do RBAC nº 161 ") == "apendice-a-do-rbac-no-161"
     assert one(spark, text.tokens(F.col("t")), t="Às 15h42, 2022") == ["as", "15h42", "2022"]
+    assert one(spark, text.tokens(F.col("t")), t="d\u2019\u00e1gua pilot\u2019s aero\u00adagr\u00edcolas se\u0301 n\u00ba") == ["d", "agua", "pilot", "s", "aero", "agricolas", "se", "no"]
     assert one(spark, text.dehyphenated(F.col("t")), t="experi-\n ência e RBAC-\n21") == "experiência e RBAC-\n21"
 
 
