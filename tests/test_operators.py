@@ -181,6 +181,20 @@ def test_files(spark, tmp_path):
     assert (tmp_path / "lines/kind=is/document=is-1").is_dir()
 
 
+def test_shared_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    def session(master, folder):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda path: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=context)
+
+    assert sink.shared_dir(session("spark://host:7077", "hdfs://x/y")) == "hdfs://x/y" and sink.shared_dir(session("local[4]", None)).startswith("file://")
+    with pytest.raises(RuntimeError):
+        sink.shared_dir(session("spark://host:7077", None))
+
+
 def test_stream(spark, tmp_path):
     schema = "doc_id long, text string, lang string"
     for batch in range(2):
