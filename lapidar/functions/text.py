@@ -31,13 +31,15 @@ def _fold_table() -> tuple[str, str, dict[str, str], str]:
 
 
 _FROM, _TO, _SEVERAL, _RARE = _fold_table()
+#: A quick test that texts of Western letters alone fail: only what passes is held against the many ranges of _RARE.
+_BEYOND = "[" + "".join(c for c in _SEVERAL if c < "\u0100") + r"\x{100}-\x{1FFFF}]"
 
 
 def _decomposed(text: Column, drop: str) -> Column:
     """Compatibility forms and accents off (NFKD), what matches drop then removed, in lower case."""
     table = F.create_map(*(F.lit(x) for pair in _SEVERAL.items() for x in pair))
     rare = F.array_join(F.transform(F.split(text, ""), lambda c: F.when(F.octet_length(c) > 1, F.coalesce(F.try_element_at(table, c), c)).otherwise(c)), "")
-    wide = F.when(text.rlike(_RARE), rare).otherwise(text)
+    wide = F.when(text.rlike(_BEYOND) & text.rlike(_RARE), rare).otherwise(text)
     plain = F.regexp_replace(F.translate(wide, _FROM, _TO), drop, "")
     return F.lower(F.when(F.octet_length(text) == F.length(text), text).otherwise(plain))  # ASCII has as many bytes as letters
 
@@ -83,7 +85,7 @@ def counted(tokens: Column) -> Column:
         return let(first, lambda at: F.zip_with(at, F.concat(F.slice(at, 2, F.size(at)), F.array(F.size(x))), lambda a, b: F.struct(F.get(x, a).alias("token"), (b - a).cast("long").alias("n"))))
 
     none = F.expr("cast(array() as array<struct<token: string, n: bigint>>)")
-    return F.when(F.size(tokens) > 0, let(F.array_sort(tokens), runs)).otherwise(none)
+    return F.when(F.size(tokens) > 0, let(F.sort_array(tokens), runs)).otherwise(none)
 
 
 def dehyphenated(text: Column) -> Column:

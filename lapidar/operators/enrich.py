@@ -23,7 +23,7 @@ def term_frequencies(docs: DataFrame, id_col: str, text_col: str, stopwords: lis
 
 def top_terms(text: Column, top: int = TOP, stopwords: list[str] = STOPWORDS) -> Column:
     """The most frequent keywords of a text, equal counts by the alphabet."""
-    ranked = F.array_sort(F.transform(counted(keyword_tokens(text, stopwords)), lambda x: F.struct((-x["n"]).alias("n"), x["token"].alias("token"))))
+    ranked = F.sort_array(F.transform(counted(keyword_tokens(text, stopwords)), lambda x: F.struct((-x["n"]).alias("n"), x["token"].alias("token"))))
     return F.transform(F.slice(ranked, 1, top), lambda x: x["token"])
 
 
